@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("q_profile",)
+_MODULES = ("q_profile", "q_text")
 
 
 def load_all():

@@ -58,13 +58,27 @@ def strip_special(expr: str, remove_digits: bool = False) -> str:
 
 
 def apostrophe_spacing(expr: str) -> str:
-    """RE2 has no look-arounds: capture the context and apply each rule twice."""
-    lead = f"regexp_replace(X, {q('([a-zA-Z])[[:space:]]+([a-z]*' + chr(39) + '[[:space:]]*[a-z])')}, {q(chr(92) + '1' + chr(92) + '2')}, 'g')"
-    trail = f"regexp_replace(X, {q('([a-zA-Z]' + chr(39) + ')[[:space:]]+([a-zA-Z])')}, {q(chr(92) + '1' + chr(92) + '2')}, 'g')"
-    x = expr
-    for tmpl in (lead, lead, trail, trail):
-        x = tmpl.replace("X", x, 1)
-    return x
+    """RE2 has no look-arounds, so the text is cut into whitespace / non-whitespace runs and
+    a whitespace run is dropped when its neighbours satisfy the rule (matching on the
+    original string, as a regex substitution does)."""
+    ap = "''"  # an apostrophe inside a SQL string literal
+
+    def nb(k: str) -> str:
+        return f"coalesce(l[i {k}], '')"
+
+    lead_ok = (
+        f"(regexp_matches({nb('- 1')}, '[a-zA-Z]$') AND ("
+        f"regexp_matches({nb('+ 1')}, '^[a-z]*{ap}[a-z]') OR "
+        f"(regexp_full_match({nb('+ 1')}, '[a-z]*{ap}') AND regexp_matches({nb('+ 3')}, '^[a-z]'))))"
+    )
+    trail_ok = f"(regexp_matches({nb('- 1')}, '[a-zA-Z]{ap}$') AND regexp_matches({nb('+ 1')}, '^[a-zA-Z]'))"
+
+    def apply(x: str, cond: str) -> str:
+        runs = f"regexp_extract_all({x}, '[[:space:]]+|[^[:space:]]+')"
+        body = f"CASE WHEN regexp_full_match(w, '[[:space:]]+') AND {cond} THEN '' ELSE w END"
+        return f"(SELECT array_to_string(list_transform(l, lambda w, i: {body}), '') FROM (SELECT {runs} AS l))"
+
+    return apply(apply(expr, lead_ok), trail_ok)
 
 
 def expand_contractions(expr: str) -> str:
