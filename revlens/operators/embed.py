@@ -85,7 +85,7 @@ def subword_vectors(vectors: DataFrame, words: DataFrame, dim: int, n_min: int =
     ug = unseen.select("word", F.explode(char_ngrams(F.col("word"), n_min, n_max)).alias("g"))
     est = ug.join(gram_vec, "g").groupBy("word").agg(Summarizer.mean(F.col("gv")).alias("v"))
     est = unseen.join(est, "word", "left").select(
-        "word", F.coalesce(vector_to_array("v"), _zeros(dim)).alias("vector")
+        "word", F.when(F.col("v").isNull(), _zeros(dim)).otherwise(vector_to_array("v")).alias("vector")
     )
     return vectors.select("word", F.col("vector").cast("array<double>").alias("vector")).unionByName(est)
 

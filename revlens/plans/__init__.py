@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("q_profile", "q_text", "q_corpus", "q_eval")
+_MODULES = ("q_profile", "q_text", "q_corpus", "q_eval", "q_models")
 
 
 def load_all():
