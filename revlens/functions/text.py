@@ -143,9 +143,11 @@ def doc_length(tokens: Column) -> Column:
 class CleanOptions:
     """Switches of the cleaning pipeline.
 
-    ``order="default"``: quotes -> accents -> apostrophes -> contractions -> special -> lower
+    ``order="default"``: quotes -> accents -> contractions -> apostrophes -> special -> lower
     -> tokens. ``order="reference"``: accents -> special -> apostrophes -> contractions ->
     lower -> tokens (contractions then never fire because special-char removal drops ``'``).
+    Contractions go before apostrophe spacing because the spacing rule removes the space
+    before *any* word holding an apostrophe (``I can't`` would become ``Ican't``).
     """
 
     remove_accented_char: bool = True
@@ -168,7 +170,7 @@ def clean_text(text: Column, opts: CleanOptions = CleanOptions()) -> Column:
         steps = ["accents", "special", "apos", "contractions", "lower"]
     else:
         t = straighten_quotes(t)
-        steps = ["accents", "apos", "contractions", "special", "lower"]
+        steps = ["accents", "contractions", "apos", "special", "lower"]
     for s in steps:
         if s == "accents" and opts.remove_accented_char:
             t = fold_accents(t)
