@@ -112,3 +112,10 @@ def clip_corpus(df: DataFrame, frac: float, key: str = "doc_id", seed: int = 42)
     """The first floor(n * frac) rows in hash order."""
     r = exact_rank(df, key, seed)
     return r.where(F.col("rank") <= F.floor(F.col("n_total") * F.lit(frac))).drop("rank", "n_total")
+
+
+# R4 -------------------------------------------------------------------------------------------
+def shuffle_rows(df: DataFrame, key: str = "doc_id", seed: int = 42) -> DataFrame:
+    """Seeded, reproducible row order (a range-partitioned global sort on the hash); use it
+    only where the sink needs a shuffled file order."""
+    return df.orderBy(seeded_hash(F.col(key), seed), F.col(key))

@@ -33,7 +33,10 @@ def _w2v(spark, sf):
 
 @query("word2vec")
 def q_word2vec(spark, sf):
-    return _w2v(spark, sf)
+    """F1 + S8: train, write the vectors in word2vec text format, read them back."""
+    path = scratch_path(spark, "w2v-" + new_run_id())
+    FS.write_word_vectors_text(_w2v(spark, sf), path)
+    return FS.read_word_vectors_text(spark, path, header=False)
 
 
 @query("subword_lookup")
@@ -308,4 +311,10 @@ def q_split_roundtrip(spark, sf):
         counts = back.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"))
         counts = counts.withColumn("format", F.lit(fmt))
         out = counts if out is None else out.unionByName(counts)
-    return out
+    # CSV sink of token arrays (JSON text in a cell), parsed back with S4
+    toks = S.split_exact(clean_tokens(spark, sf))
+    FS.write_csv(toks.select("doc_id", "split", "toks"), f"{root}/tokens_csv")
+    back = spark.read.option("header", True).option("escape", '"').csv(f"{root}/tokens_csv")
+    back = back.withColumn("toks", F.from_json("toks", "array<string>"))
+    counts = back.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("toks")).alias("chars")).withColumn("format", F.lit("csv_tokens"))
+    return out.unionByName(counts)

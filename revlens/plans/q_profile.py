@@ -276,3 +276,25 @@ def q_class_weights(spark, sf):
 )
 def q_clip_corpus(spark, sf):
     return S.clip_corpus(reviews(spark, sf).select("doc_id"), 0.5)
+
+
+# P3 --------------------------------------------------------------------------------------------
+@query(
+    "rating_sentiment",
+    W + " SELECT doc_id, rating, CASE WHEN rating IN (1, 2) THEN 'Negative' WHEN rating = 3 THEN 'Neutral' "
+    "WHEN rating IN (4, 5) THEN 'Positive' END AS sentiment_name FROM reviews",
+)
+def q_rating_sentiment(spark, sf):
+    r = reviews(spark, sf)
+    return r.select("doc_id", "rating", P.rating_to_sentiment(F.col("rating")).alias("sentiment_name"))
+
+
+# A10 -------------------------------------------------------------------------------------------
+@query(
+    "split_sizes",
+    W + f", r AS (SELECT doc_id, row_number() OVER (ORDER BY {HASH}, doc_id) AS rank, count(*) OVER () AS n FROM reviews), "
+    "s AS (SELECT CASE WHEN rank <= floor(floor(n * 0.9) * 0.1) THEN 'validation' WHEN rank <= floor(n * 0.9) THEN 'train' ELSE 'test' END AS split FROM r) "
+    "SELECT split, CAST(count(*) AS BIGINT) AS n FROM s GROUP BY split",
+)
+def q_split_sizes(spark, sf):
+    return P.value_counts(S.split_exact(reviews(spark, sf).select("doc_id")), "split")
