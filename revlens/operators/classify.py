@@ -56,6 +56,24 @@ def balanced(df: DataFrame, label: str = "label", weight_col: str = "weight") ->
     return with_class_weights(df, label, weight_col)
 
 
+def fit_input(df: DataFrame, rows_per_partition: int = 1_000_000) -> DataFrame:
+    """Cache the input of an iterative estimator with partitions sized by row count.
+
+    Every optimizer iteration is a job over all partitions, so a small training set spread
+    over many partitions pays the task overhead hundreds of times; a large one keeps (at
+    least) one partition per ``rows_per_partition`` rows.
+    """
+    df = df.cache()
+    n = df.count()
+    target = max(1, -(-n // rows_per_partition))
+    if df.rdd.getNumPartitions() > target:
+        out = df.coalesce(target).cache()
+        out.count()
+        df.unpersist()
+        return out
+    return df
+
+
 # M1 ----------------------------------------------------------------------------------------------
 def naive_bayes(smoothing: float = 1.0) -> NaiveBayes:
     return NaiveBayes(modelType="multinomial", smoothing=smoothing, featuresCol="features", labelCol="label")

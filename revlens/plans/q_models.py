@@ -68,12 +68,12 @@ def embedded_sets(spark, sf):
         F.col("vec_id").alias("doc_id"), F.col("label").cast("int").alias("label"), F.col("embedding").cast("array<double>").alias("embeds")
     )
     e = S.split_threshold(EM.features(e))
-    return CL.balanced(e, "label").cache()  # iterative fits read it many times
+    return CL.fit_input(CL.balanced(e, "label"))  # iterative fits read it many times
 
 
 def review_sets(spark, sf):
     lt = labelled_tokens(spark, sf).withColumnRenamed("sentiment", "label")
-    return CL.balanced(S.split_threshold(lt), "label").cache()  # iterative fits read it many times
+    return CL.fit_input(CL.balanced(S.split_threshold(lt), "label"))  # iterative fits read it many times
 
 
 def _train_test(df):
@@ -104,7 +104,7 @@ def q_linear_svc(spark, sf):
 # M3 ----------------------------------------------------------------------------------------------
 @query("svc_proba")
 def q_svc_proba(spark, sf):
-    sets = S.carve_validation(embedded_sets(spark, sf), frac=0.2).cache()
+    sets = CL.fit_input(S.carve_validation(embedded_sets(spark, sf), frac=0.2))
     train, test = _train_test(sets)
     held = sets.where(F.col("split") == "validation")
     base = CL.linear_svc(1.0, float(train.agg(F.sum("weight")).first()[0])).fit(train)
@@ -160,7 +160,7 @@ def q_batch_score(spark, sf):
 @query("model_matrix")
 def q_model_matrix(spark, sf):
     """Feature x classifier comparison on the labelled reviews (3 classes)."""
-    sets = review_sets(spark, sf).cache()
+    sets = review_sets(spark, sf)
     train, test = _train_test(sets)
     tfidf = CL.SmoothTfidf(inputCol="toks", outputCol="features").fit(train)
     dim = 4

@@ -79,7 +79,7 @@ def create_embeddings(splits: DataFrame, vectors: DataFrame, dim: int, mode: str
 def train_classifier(spark: SparkSession, data: DataFrame, registry_root: str, kind: str = "rf", features: str = "tfidf",
                      tokens_col: str = "tokens", n_iter: int = 10, seed: int = 42) -> dict:
     """M7: data has (doc_id, label, split, tokens | embeds). Returns metrics and the model path."""
-    data = CL.balanced(data, "label").cache()
+    data = CL.fit_input(CL.balanced(data, "label"))
     train, val = data.where(F.col("split") == "train"), data.where(F.col("split") == "validation")
     stages = []
     if features == "tfidf":
