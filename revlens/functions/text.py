@@ -92,8 +92,18 @@ def expand_contractions(text: Column, mapping: dict[str, str] | None = None) ->
 
 
 # T3 ---------------------------------------------------------------------------------------
-def strip_special(text: Column, remove_digits: bool = False) -> Column:
-    return F.regexp_replace(text, SPECIAL_PATTERN_NO_DIGITS if remove_digits else SPECIAL_PATTERN, "")
+def strip_special(text: Column, remove_digits: bool = False, ascii_only: bool = False) -> Column:
+    """Remove characters outside ``[a-zA-z0-9\s]`` (digits too with ``remove_digits``).
+
+    ``ascii_only=True`` is for text already folded to ASCII: the same deletion is then a
+    ``translate`` over the finite set of ASCII characters the pattern rejects (hash lookups
+    instead of a regex scan)."""
+    pattern = SPECIAL_PATTERN_NO_DIGITS if remove_digits else SPECIAL_PATTERN
+    if ascii_only:
+        rx = re.compile(pattern.replace("\\s", "\t\n\x0b\f\r "))
+        drop = "".join(chr(c) for c in range(128) if rx.fullmatch(chr(c)))
+        return F.translate(text, drop, "")
+    return F.regexp_replace(text, pattern, "")
 
 
 # T4 ---------------------------------------------------------------------------------------
@@ -104,8 +114,9 @@ def apostrophe_spacing(text: Column) -> Column:
 # T6 ---------------------------------------------------------------------------------------
 def tokenize(text: Column) -> Column:
     """Whitespace split after spacing off ``: ; ( ) [ ] + . , ! ? \\ -`` that touch a letter."""
-    spaced = F.regexp_replace(text, "([A-Za-z])(" + _TOKEN_PUNCT_CLASS + ")", "$1 $2")
-    spaced = F.regexp_replace(spaced, "(" + _TOKEN_PUNCT_CLASS + ")([A-Za-z])", "$1 $2")
+    p = _TOKEN_PUNCT_CLASS
+    # one pass: a space at every letter|punct and punct|letter boundary
+    spaced = F.regexp_replace(text, f"(?<=[A-Za-z])(?={p})|(?<={p})(?=[A-Za-z])", " ")
     return F.filter(F.split(spaced, r"\s+"), lambda t: t != "")
 
 
@@ -175,7 +186,7 @@ def clean_text(text: Column, opts: CleanOptions = CleanOptions()) -> Column:
         if s == "accents" and opts.remove_accented_char:
             t = fold_accents(t)
         elif s == "special" and opts.remove_special_char:
-            t = strip_special(t, opts.remove_digits)
+            t = strip_special(t, opts.remove_digits, ascii_only=opts.remove_accented_char)
         elif s == "apos" and opts.correct_apos_whitespace:
             t = apostrophe_spacing(t)
         elif s == "contractions" and opts.contraction_expansion:

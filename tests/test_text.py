@@ -151,3 +151,12 @@ def test_unicode_fold_is_per_character():
     s = "Ça va? Ñandú ½"
     assert fold_text_python(s) == "".join(fold_text_python(c) for c in s)
     assert unicodedata.normalize("NFKD", "é") == "é"
+
+
+def test_strip_special_ascii_translate_equals_regex(spark):
+    rng = random.Random(21)
+    texts = ["".join(chr(rng.randint(0, 127)) for _ in range(40)) for _ in range(300)]
+    for digits in (False, True):
+        a = _one(spark, lambda c: T.strip_special(c, digits), texts)
+        b = _one(spark, lambda c: T.strip_special(c, digits, ascii_only=True), texts)
+        assert a == b
