@@ -44,9 +44,9 @@ def mean_pool(df: DataFrame, key: str, tokens_col: str, vectors: DataFrame, dim:
 def idf_pool(df: DataFrame, key: str, tokens_col: str, vectors: DataFrame, idf: DataFrame, dim: int) -> DataFrame:
     """``mean(vec * idf)`` over in-vocabulary occurrences; the divisor is the number of
     occurrences, and a word without an IDF weight takes the largest IDF."""
-    max_idf = idf.agg(F.max("idf")).first()[0]  # a scalar
+    max_idf = idf.agg(F.max("idf")).scalar()  # scalar subquery
     words = df.select(key, F.explode(tokens_col).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
-    words = words.join(idf, "term", "left").withColumn("idf", F.coalesce(F.col("idf"), F.lit(max_idf)))
+    words = words.join(idf, "term", "left").withColumn("idf", F.coalesce(F.col("idf"), max_idf))
     pooled = _pool(words, key, vectors, F.col("tf") * F.col("idf"), F.col("tf"), dim)
     out = df.join(pooled, key, "left")
     return out.withColumn("embeds", F.coalesce(F.col("embeds"), _zeros(dim)))

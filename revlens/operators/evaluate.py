@@ -43,8 +43,8 @@ def confusion_ovr(df: DataFrame, label: str = "label", pred: str = "prediction")
     per = as_label.unionByName(as_pred).groupBy("class").agg(
         F.sum("tp").cast("bigint").alias("tp"), F.sum("fp").cast("bigint").alias("fp"), F.sum("fn").cast("bigint").alias("fn")
     )
-    total = c.agg(F.sum("n")).first()[0]  # a scalar (sum of K*K counts)
-    return per.withColumn("tn", (F.lit(total) - F.col("tp") - F.col("fp") - F.col("fn")).cast("bigint")).select(
+    total = c.agg(F.sum("n")).scalar()  # scalar subquery over the K*K counts
+    return per.withColumn("tn", (total - F.col("tp") - F.col("fp") - F.col("fn")).cast("bigint")).select(
         "class", "tn", "fp", "fn", "tp"
     )
 

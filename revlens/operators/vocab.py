@@ -46,7 +46,7 @@ def filter_extremes(
     if g:
         kept = dfs.join(F.broadcast(doc_counts(df, g)), g)  # one row per group
     else:
-        kept = dfs.withColumn("n_docs", F.lit(df.count()))  # a scalar
+        kept = dfs.withColumn("n_docs", df.agg(F.count(F.lit(1))).scalar())  # scalar subquery
     kept = kept.where((F.col("df") >= no_below) & (F.col("df") <= F.floor(F.col("n_docs") * F.lit(no_above))))
     w = Window.partitionBy(*g).orderBy(F.desc("df"), F.asc("term"))
     ranked = kept.withColumn("term_id", (F.row_number().over(w) - 1).cast("int"))
@@ -73,7 +73,7 @@ def tfidf_topic(bow: DataFrame, n_docs: DataFrame, key: str, group_cols=(), eps:
     g = list(group_cols)
     dfs = bow.groupBy(*g, "term").agg(F.count(F.lit(1)).alias("df"))
     if not g:
-        dfs = dfs.withColumn("n_docs", F.lit(n_docs.first()["n_docs"]))
+        dfs = dfs.withColumn("n_docs", n_docs.select("n_docs").scalar())
     else:
         dfs = dfs.join(F.broadcast(n_docs), g)  # one row per group
     idf = dfs.select(*g, "term", (F.log2(F.col("n_docs") / F.col("df"))).alias("idf"))
@@ -81,10 +81,12 @@ def tfidf_topic(bow: DataFrame, n_docs: DataFrame, key: str, group_cols=(), eps:
     return _l2_normalise(w, [*g, key], "weight", eps).drop("idf")
 
 
-def smooth_idf(df: DataFrame, key: str, tokens_col: str, n_docs: int) -> DataFrame:
-    """(term, idf) with ``idf = ln((1 + N) / (1 + df)) + 1`` (smoothed IDF)."""
+def smooth_idf(df: DataFrame, key: str, tokens_col: str, n_docs=None) -> DataFrame:
+    """(term, idf) with ``idf = ln((1 + N) / (1 + df)) + 1`` (smoothed IDF). N defaults to the
+    number of rows of ``df`` as a scalar subquery."""
     dfs = document_frequency(df, key, tokens_col)
-    return dfs.select("term", (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1).alias("idf"))
+    n = df.agg(F.count(F.lit(1))).scalar() if n_docs is None else F.lit(n_docs)
+    return dfs.select("term", (F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + 1).alias("idf"))
 
 
 def tfidf_classifier(docs: DataFrame, key: str, tokens_col: str, idf: DataFrame) -> DataFrame:

@@ -54,7 +54,7 @@ def q_embed_splits(spark, sf):
     vecs = _w2v(spark, sf)
     mean = EM.mean_pool(toks, "doc_id", "toks", vecs, W2V_DIM).select("doc_id", "split", "sentiment", F.col("embeds").alias("w2v_mean"))
     train = toks.where(F.col("split") == "train")
-    idf = V.smooth_idf(train, "doc_id", "toks", train.count())
+    idf = V.smooth_idf(train, "doc_id", "toks")
     words = toks.select(F.explode("toks").alias("word")).distinct()
     sub = EM.subword_vectors(vecs, words, W2V_DIM)
     tfidf = EM.idf_pool(toks, "doc_id", "toks", sub, idf, W2V_DIM).select("doc_id", F.col("embeds").alias("ft_tfidf"))

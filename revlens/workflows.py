@@ -67,7 +67,7 @@ def create_embeddings(splits: DataFrame, vectors: DataFrame, dim: int, mode: str
         out = EM.mean_pool(splits, key, tokens_col, vectors, dim)
     elif mode == "tfidf":
         train = splits.where(F.col("split") == "train")
-        idf = V.smooth_idf(train, key, tokens_col, train.count())
+        idf = V.smooth_idf(train, key, tokens_col)
         out = EM.idf_pool(splits, key, tokens_col, vectors, idf, dim)
     else:
         raise ValueError(f"unknown vectorisation mode {mode}")
