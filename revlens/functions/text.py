@@ -93,7 +93,7 @@ def expand_contractions(text: Column, mapping: dict[str, str] | None = None) ->
 
 # T3 ---------------------------------------------------------------------------------------
 def strip_special(text: Column, remove_digits: bool = False, ascii_only: bool = False) -> Column:
-    """Remove characters outside ``[a-zA-z0-9\s]`` (digits too with ``remove_digits``).
+    """Remove characters outside ``[a-zA-z0-9]`` and whitespace (digits too with ``remove_digits``).
 
     ``ascii_only=True`` is for text already folded to ASCII: the same deletion is then a
     ``translate`` over the finite set of ASCII characters the pattern rejects (hash lookups

@@ -121,7 +121,7 @@ def sample_grid(grid: list, n_iter: int, seed: int = 42) -> list:
     return random.Random(seed).sample(list(grid), n_iter)
 
 
-def tune(estimator, grid: list, df: DataFrame, n_iter: int = 10, k: int = 5, seed: int = 42, parallelism: int = 4, metric: str = "accuracy"):
+def tune(estimator, grid: list, df: DataFrame, n_iter: int = 10, k: int = 5, seed: int = 42, parallelism: int = 8, metric: str = "accuracy"):
     """M5: (best model, best mean CV score, best params) over a random sample of the grid.
 
     Folds are stratified by label (``fold`` column) so every class is in every fold.
