@@ -53,6 +53,26 @@ def exact_rank(
     return joined.withColumn(rank_col, F.col("__off") + F.row_number().over(within)).drop("__h", "__b", "__off")
 
 
+def ordered_rank(df: DataFrame, order: list, bucket: list, partition_cols: tuple[str, ...] = (), rank_col: str = "rank") -> DataFrame:
+    """Exact 1-based rank by ``order`` within ``partition_cols`` without sorting a whole
+    partition in one task.
+
+    ``bucket`` is a coarser key, sorted ascending, that is monotone in ``order`` (ordering by
+    bucket and then by ``order`` is the same as ordering by ``order``), e.g. ``(-df, prefix of
+    term)`` for ``(df desc, term)``. Bucket sizes come from one aggregation; the cumulative
+    offsets are a window over the bucket-count table; ``row_number`` runs per bucket.
+    """
+    pcols = list(partition_cols)
+    names = [f"__k{i}" for i in range(len(bucket))]
+    staged = df.select("*", *[b.alias(n) for b, n in zip(bucket, names)])
+    counts = staged.groupBy(*pcols, *names).agg(F.count(F.lit(1)).alias("__cnt"))
+    wcum = Window.partitionBy(*pcols).orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(wcum), F.lit(0))).drop("__cnt")
+    joined = staged.join(offsets, [*pcols, *names])
+    within = Window.partitionBy(*pcols, *names).orderBy(*order)
+    return joined.withColumn(rank_col, F.col("__off") + F.row_number().over(within)).drop(*names, "__off")
+
+
 # R1 -------------------------------------------------------------------------------------------
 def split_exact(df: DataFrame, key: str = "doc_id", seed: int = 42, train_frac: float = 0.9, val_frac: float = 0.1) -> DataFrame:
     """train = int(.9 n); validation = first int(.1 train) of it; test = the rest."""

@@ -10,6 +10,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from revlens.operators.split import ordered_rank
+
+
+def rank_terms(dfs: DataFrame, group_cols=(), prefix: int = 2) -> DataFrame:
+    """0-based ``term_id`` by (df desc, term) per group. Buckets of (df, term prefix) keep the
+    per-task sort small even for a hot group with a very large vocabulary."""
+    ranked = ordered_rank(
+        dfs, [F.desc("df"), F.asc("term")], [-F.col("df"), F.substring("term", 1, prefix)], tuple(group_cols), "__r"
+    )
+    return ranked.withColumn("term_id", (F.col("__r") - 1).cast("int")).drop("__r")
+
 
 def doc_terms(df: DataFrame, key: str, tokens_col: str, group_cols=()) -> DataFrame:
     """(group..., key, term, tf): term counts per document."""
@@ -48,8 +59,7 @@ def filter_extremes(
     else:
         kept = dfs.withColumn("n_docs", df.agg(F.count(F.lit(1))).scalar())  # scalar subquery
     kept = kept.where((F.col("df") >= no_below) & (F.col("df") <= F.floor(F.col("n_docs") * F.lit(no_above))))
-    w = Window.partitionBy(*g).orderBy(F.desc("df"), F.asc("term"))
-    ranked = kept.withColumn("term_id", (F.row_number().over(w) - 1).cast("int"))
+    ranked = rank_terms(kept, g)
     if keep_n is not None:
         ranked = ranked.where(F.col("term_id") < keep_n)
     return ranked.select(*g, "term", "df", "term_id")

@@ -186,9 +186,10 @@ def df_vocab(toks, min_df: int = 2, cap: int = 100000):
     dfc = toks.select("doc_id", F.explode(F.array_distinct("toks")).alias("term")).groupBy("term").agg(
         F.count(F.lit(1)).alias("df")
     )
-    w = Window.orderBy(F.desc("df"), "term")  # top-`cap` with a partial limit per map task
-    ranked = dfc.where(F.col("df") >= min_df).withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= cap)
-    return ranked.select("term", (F.col("rk") + 1).alias("term_id"), "df")
+    from revlens.operators.vocab import rank_terms
+
+    ranked = rank_terms(dfc.where(F.col("df") >= min_df)).where(F.col("term_id") < cap)
+    return ranked.select("term", (F.col("term_id") + 2).alias("term_id"), "df")
 
 
 @query(

@@ -238,3 +238,14 @@ def test_gsdmm_recovers_planted_clusters(spark):
     pure = j.groupBy("z").agg(F.countDistinct("truth").alias("k")).collect()
     assert all(r["k"] == 1 for r in pure)
     assert len(pure) <= 4
+
+
+def test_ordered_rank_matches_sort(spark):
+    rng = random.Random(4)
+    rows = [(g, f"t{rng.randint(0, 400)}x{i}", rng.choice([20, 20, 20, 21, 25, 40, 99])) for i in range(2000) for g in ("a",) ] + \
+        [("b", f"w{i}", rng.randint(1, 5)) for i in range(300)]
+    df = spark.createDataFrame(rows, "g string, term string, df long")
+    got = {(r["g"], r["term"]): r["term_id"] for r in V.rank_terms(df, ["g"]).collect()}
+    for g in ("a", "b"):
+        ordered = sorted((r for r in rows if r[0] == g), key=lambda r: (-r[2], r[1].encode()))
+        assert [got[(g, r[1])] for r in ordered] == list(range(len(ordered)))
