@@ -42,3 +42,21 @@ def test_score_stream(spark):
     q.awaitTermination(120)
     scored = spark.read.parquet(out + "/scored")
     assert scored.count() == spark.read.parquet(f"{SF0001}/documents.parquet").count()
+
+
+def test_tune_topics_refits_best(spark):
+    from revlens.plans.q_corpus import labelled_tokens
+
+    from .conftest import SF001
+
+    out = tempfile.mkdtemp(prefix="revlens-topics-")
+    docs = labelled_tokens(spark, SF001).withColumnRenamed("toks", "tokens")
+    grid = WF.tune_topics(spark, docs, ks=[2, 3], alphas=["symmetric"], betas=[0.5], model_root=out + "/lda")
+    rows = grid.collect()
+    assert rows and all(r["coherence"] is not None for r in rows)
+    assert {r["num_topics"] for r in rows} == {2, 3}
+    from pyspark.ml.clustering import LocalLDAModel
+
+    saved = [r["sentiment"] for r in grid.select("sentiment").distinct().collect()]
+    m = LocalLDAModel.load(f"{out}/lda/lda_{saved[0]}")
+    assert m.getK() in (2, 3)
