@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes, OneVsRest, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer

@@ -14,7 +14,7 @@ from revlens.operators import split as S
 from revlens.operators import topics as TP
 from revlens.operators import vocab as V
 from revlens.plans.q_corpus import derived_vectors, labelled_tokens
-from revlens.plans.q_eval import predictions
+
 from revlens.plans.q_text import clean_tokens
 from revlens.plans.registry import query
 from revlens.session import scratch_path

@@ -6,7 +6,7 @@ one of a few fixed snippets to every document (chosen by key, in both engines).
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+
 from pyspark.sql import functions as F
 
 from revlens.functions import text as T

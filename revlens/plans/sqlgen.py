@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from revlens.functions.text import APOS_LEADING, SPECIAL_PATTERN, SPECIAL_PATTERN_NO_DIGITS  # noqa: F401
+from revlens.functions.text import SPECIAL_PATTERN, SPECIAL_PATTERN_NO_DIGITS
 from revlens.functions.wordlists import PUNCTUATION, TOKEN_PUNCT, extended_stop_words, lower_contractions, spark_stop_words
 
 
