@@ -168,3 +168,16 @@ def cross_entropy(df: DataFrame, label: str = "label", prob: str = "probability"
 def one_hot(label: Column, n_classes: int) -> Column:
     """One-hot array<int> of a 0-based class id."""
     return F.transform(F.sequence(F.lit(0), F.lit(n_classes - 1)), lambda k: F.when(k == label, 1).otherwise(0))
+
+
+def feature_importance(spark, model, names: list[str] | None = None, top: int | None = None) -> DataFrame:
+    """E5: a tree ensemble's ``featureImportances`` as (feature, importance, rank).
+
+    The vector is model state on the driver (one value per feature), not data."""
+    vals = model.featureImportances.toArray().tolist()
+    rows = [(names[i] if names else str(i), float(v)) for i, v in enumerate(vals)]
+    df = spark.createDataFrame(rows, "feature string, importance double")
+    from pyspark.sql import Window as _W
+
+    ranked = df.withColumn("rank", F.row_number().over(_W.orderBy(F.desc("importance"), F.asc("feature"))))
+    return ranked.where(F.col("rank") <= top) if top else ranked

@@ -318,3 +318,13 @@ def q_split_roundtrip(spark, sf):
     back = back.withColumn("toks", F.from_json("toks", "array<string>"))
     counts = back.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("toks")).alias("chars")).withColumn("format", F.lit("csv_tokens"))
     return out.unionByName(counts)
+
+
+# E5 (importances) -----------------------------------------------------------------------------------
+@query("feature_importance")
+def q_feature_importance(spark, sf):
+    from revlens.operators.evaluate import feature_importance
+
+    train, _ = _train_test(embedded_sets(spark, sf))
+    model = CL.random_forest(100, 4).fit(train)
+    return feature_importance(spark, model, [f"dim{i}" for i in range(model.numFeatures)], top=20)
