@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from revlens.functions.arrays import explode_rows
+
 
 def copies_per_sample(df: DataFrame, label: str) -> DataFrame:
     """G1: (label, n, k) with ``k = floor((target - n) / n)`` and target = the largest class."""
@@ -32,7 +34,7 @@ def synonym_augment(
     ``df`` has (key, tokens, label, k); ``synonyms`` has (word, synonyms array<string>).
     Returns (key, copy, label, tokens).
     """
-    toks = df.where(F.col(k_col) >= 1).select(key, label, k_col, F.posexplode(tokens_col).alias("pos", "tok"))
+    toks = explode_rows(df.where(F.col(k_col) >= 1), [key, label, k_col], tokens_col, "tok", pos="pos")
     syn = synonyms.select(F.col("word").alias("tok"), F.col("synonyms").alias("__syn"))
     toks = toks.join(syn, "tok", "left")
     copies = toks.select("*", F.explode(F.sequence(F.lit(1), F.col(k_col))).alias("copy"))

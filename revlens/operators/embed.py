@@ -14,6 +14,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revlens.functions.arrays import explode_rows
+
 
 def _zeros(dim: int):
     return F.array_repeat(F.lit(0.0), dim)
@@ -35,7 +37,7 @@ def mean_pool(df: DataFrame, key: str, tokens_col: str, vectors: DataFrame, dim:
 
     Not ``Word2VecModel.transform``, which divides by all tokens including unknown ones.
     """
-    words = df.select(key, F.explode(tokens_col).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    words = explode_rows(df, [key], tokens_col, "term").groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
     pooled = _pool(words, key, vectors, F.col("tf").cast("double"), F.col("tf"), dim)
     out = df.join(pooled, key, "left")
     return out.withColumn("embeds", F.coalesce(F.col("embeds"), _zeros(dim)))
@@ -45,7 +47,7 @@ def idf_pool(df: DataFrame, key: str, tokens_col: str, vectors: DataFrame, idf:
     """``mean(vec * idf)`` over in-vocabulary occurrences; the divisor is the number of
     occurrences, and a word without an IDF weight takes the largest IDF."""
     max_idf = idf.agg(F.max("idf")).scalar()  # scalar subquery
-    words = df.select(key, F.explode(tokens_col).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    words = explode_rows(df, [key], tokens_col, "term").groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
     words = words.join(idf, "term", "left").withColumn("idf", F.coalesce(F.col("idf"), max_idf))
     pooled = _pool(words, key, vectors, F.col("tf") * F.col("idf"), F.col("tf"), dim)
     out = df.join(pooled, key, "left")

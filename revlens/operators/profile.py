@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from revlens.functions.arrays import explode_rows
 from revlens.functions.wordlists import RATING_TO_SENTIMENT
 
 
@@ -114,7 +115,7 @@ def top_k_per_group(df: DataFrame, group: str, order: list, k: int, rank_col: st
 
 def top_words(tokens_df: DataFrame, group: str, tokens_col: str, k: int = 20) -> DataFrame:
     """Top-k words per group by occurrence count (ties broken by word)."""
-    words = tokens_df.select(group, F.explode(tokens_col).alias("word"))
+    words = explode_rows(tokens_df, [group], tokens_col, "word")
     counts = words.groupBy(group, "word").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
     return top_k_per_group(counts, group, [F.desc("n"), F.asc("word")], k)
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from revlens.functions.arrays import explode_rows
 from revlens.operators.split import ordered_rank
 
 
@@ -26,7 +27,7 @@ def doc_terms(df: DataFrame, key: str, tokens_col: str, group_cols=()) -> DataFr
     """(group..., key, term, tf): term counts per document."""
     g = list(group_cols)
     return (
-        df.select(*g, key, F.explode(tokens_col).alias("term"))
+        explode_rows(df, [*g, key], tokens_col, "term")
         .groupBy(*g, key, "term")
         .agg(F.count(F.lit(1)).cast("bigint").alias("tf"))
     )
@@ -41,7 +42,7 @@ def doc_counts(df: DataFrame, group_cols=()) -> DataFrame:
 def document_frequency(df: DataFrame, key: str, tokens_col: str, group_cols=()) -> DataFrame:
     g = list(group_cols)
     return (
-        df.select(*g, F.explode(F.array_distinct(tokens_col)).alias("term"))
+        explode_rows(df, g, F.array_distinct(tokens_col), "term")
         .groupBy(*g, "term")
         .agg(F.count(F.lit(1)).cast("bigint").alias("df"))
     )
