@@ -251,10 +251,15 @@ def sql_umass(topics: str, corpus: str, topic: str, out: str) -> str:
 
 
 def _topic_inputs(spark, sf):
+    """Class corpora, vocabularies and class-as-topic term weights. The vocabulary and the
+    weights are small (classes x vocabulary) and read several times by each topic query, so
+    they are persisted (MEMORY_AND_DISK) instead of being recomputed per branch."""
+    from pyspark import StorageLevel
+
     lt = labelled_tokens(spark, sf)
-    voc = V.filter_extremes(lt, "doc_id", "toks", ["sentiment"])
+    voc = V.filter_extremes(lt, "doc_id", "toks", ["sentiment"]).persist(StorageLevel.MEMORY_AND_DISK)
     bow = V.bag_of_words(lt, "doc_id", "toks", voc, ["sentiment"])
-    weights = bow.groupBy("sentiment", "term").agg(F.sum("tf").cast("bigint").alias("weight"))
+    weights = bow.groupBy("sentiment", "term").agg(F.sum("tf").cast("bigint").alias("weight")).persist(StorageLevel.MEMORY_AND_DISK)
     dt = lt.select("sentiment", "doc_id", F.explode(F.array_distinct("toks")).alias("term"))
     return lt, voc, weights, dt
 
