@@ -160,3 +160,16 @@ def test_strip_special_ascii_translate_equals_regex(spark):
         a = _one(spark, lambda c: T.strip_special(c, digits), texts)
         b = _one(spark, lambda c: T.strip_special(c, digits, ascii_only=True), texts)
         assert a == b
+
+
+def test_explode_rows_equals_explode(spark):
+    from revlens.functions.arrays import explode_rows
+
+    df = spark.createDataFrame([(1, ["a", "b"]), (2, []), (3, None), (4, ["c"])], "k int, t array<string>")
+    plain = sorted(tuple(r) for r in df.select("k", F.posexplode("t").alias("p", "w")).collect())
+    ours = sorted(tuple(r) for r in explode_rows(df, ["k"], "t", "w", pos="p").select("k", "p", "w").collect())
+    assert plain == ours
+    # the cleaning expression is evaluated once: no inferred size() filter on the generator input
+    toks = spark.createDataFrame([("a b",)], "text string").select(T.clean_text(F.col("text")).alias("tokens"))
+    plan = explode_rows(toks, [], "tokens", "w")._jdf.queryExecution().optimizedPlan().toString()
+    assert "size(" not in plan
