@@ -1,16 +1,12 @@
 """Word lists and lookup tables.
 
-The English stop list is Spark's own (``StopWordsRemover.loadDefaultStopWords('english')``),
-read from the MLlib jar without starting a JVM so SQL oracles can embed the same list.
+The English stop list equals Spark's own (``StopWordsRemover.loadDefaultStopWords('english')``,
+compared in the tests) and is stated here, so that importing needs no file and no JVM.
 """
 
 from __future__ import annotations
 
-import functools
-import glob
-import os
 import string
-import zipfile
 
 # --- fixed values -----------------------------------------------------------------------
 # These must equal the reviewed behaviour for results to match; they are stated as text,
@@ -176,18 +172,34 @@ def lower_contractions() -> dict[str, str]:
     return out
 
 
-@functools.lru_cache(maxsize=None)
+# Spark's default English stop list (181 words, Apache Spark, ml.feature).
+ENGLISH_STOP_WORDS = tuple(
+    """
+    i me my myself we our ours ourselves you your yours yourself yourselves he him his himself
+    she her hers herself it its itself they them their theirs themselves what which who whom
+    this that these those am is are was were be been being have has had having do does did doing
+    a an the and but if or because as until while of at by for with about against between into
+    through during before after above below to from up down in out on off over under again
+    further then once here there when where why how all any both each few more most other some
+    such no nor not only own same so than too very s t can will just don should now i'll you'll
+    he'll she'll we'll they'll i'd you'd he'd she'd we'd they'd i'm you're he's she's it's we're
+    they're i've we've you've they've isn't aren't wasn't weren't haven't hasn't hadn't don't
+    doesn't didn't won't wouldn't shan't shouldn't mustn't can't couldn't cannot could here's
+    how's let's ought that's there's what's when's where's who's why's would
+    """.split()
+)
+
+
 def spark_stop_words(language: str = "english") -> tuple[str, ...]:
-    """Spark's default stop list for ``language`` read from the bundled MLlib jar."""
-    import pyspark
-
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    for jar in jars:
-        with zipfile.ZipFile(jar) as z:
-            name = f"org/apache/spark/ml/feature/stopwords/{language}.txt"
-            if name in z.namelist():
-                return tuple(w for w in z.read(name).decode("utf-8").split("\n") if w)
-    raise FileNotFoundError(f"no stop list for {language}")
+    """Spark's default English stop list, kept here so that no file is read at import.
+
+    Other languages come from ``StopWordsRemover.loadDefaultStopWords`` in a live session.
+    """
+    if language == "english":
+        return ENGLISH_STOP_WORDS
+    from pyspark.ml.feature import StopWordsRemover
+
+    return tuple(StopWordsRemover.loadDefaultStopWords(language))
 
 
 def extended_stop_words() -> tuple[str, ...]:

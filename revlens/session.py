@@ -7,7 +7,6 @@ is only needed by readers and by the few operators that cut lineage.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -37,28 +36,34 @@ def build_session(
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared checkpoint folder: ``spark.checkpoint.dir``, else the context's own.
 
-    Only when the cluster names none (local tests, the bench) a scratch folder is created.
+    Where neither is set, a local master (one machine: tests, the bench) gets a folder below
+    the session's warehouse; on a cluster this raises, since executors could not read it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
-        return configured
+        return configured.rstrip("/")
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
-        return current.get()
-    path = fallback or tempfile.mkdtemp(prefix="revlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        return current.get().rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    path = os.path.join(spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:"), "_checkpoints")
     spark.sparkContext.setCheckpointDir(path)
-    return path
+    return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    return checkpoint_dir(spark)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for tables written to cut lineage."""
-    base = ensure_checkpoint_dir(spark)
-    return base.rstrip("/") + "/" + name
+    return f"{checkpoint_dir(spark)}/{name}"
