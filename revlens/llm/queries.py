@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from revlens.llm import html, language, licenses, mixing, packing, sharding  # noqa: F401
+from revlens.llm import html, language, licenses, mixing, nearjoin, packing, sharding  # noqa: F401
 from revlens.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
