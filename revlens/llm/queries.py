@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from revlens.llm import covertree, html, language, licenses, mixing, nearjoin, nndescent, packing, sharding  # noqa: F401
+from revlens.llm import covertree, html, katz, language, licenses, mixing, nearjoin, nndescent, packing, sharding  # noqa: F401
 from revlens.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
