@@ -20,6 +20,7 @@ closed but opens the next one, so a block end costs nothing. Only the end of a p
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import zlib
 from collections import deque
@@ -41,73 +42,116 @@ TOKENIZER_FILE = "word_bpe_49k.json"
 DOC, SENTENCE, HARD = 0, 1, 2
 
 
+CLOSERS = "\"')]}»”’"
+STOPS = (".", "!", "?", "…", "。", "！", "？")
+
+
 class WordEncoder:
-    """Token ids of white-space separated pieces of text, each distinct piece encoded once.
+    """Token ids of white-space separated pieces of text; each distinct piece is encoded once.
 
-    The tokenizer drops white space and never merges across it, so the ids of a text are the ids of
-    its pieces in order. The cache is emptied when it holds ``cache_size`` pieces, which changes
-    speed only.
+    The tokenizer drops white space and never merges across it, so the ids of a text are the ids of its
+    pieces in order. Words of Latin letters, with or without marks after them, go straight to its model
+    (their bytes written as the model's byte alphabet has them), all else through the whole tokenizer. The table of known pieces is emptied when it has ``most_pieces``
+    pieces or ``most_ids`` ids, which changes speed only.
     """
 
     SEP = "<|startoftext|>"
     SEP_ID = 49406
+    MARKS = ".,;:!?"
+    LATIN_END = "\u0180"
 
-    def __init__(self, path: str, cache_size: int = 2_000_000, longest: int = 64):
+    def __init__(self, path: str, most_pieces: int = 800_000, most_ids: int = 16_000_000):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache_size, self.longest = cache_size, longest
-        self.cache: dict[str, np.ndarray] = {}
-
-    def _encode(self, pieces: list[str]) -> list[np.ndarray]:
-        """Ids of each piece; plain pieces go through the tokenizer together, parted by a special token."""
-        out: list[np.ndarray | None] = [None] * len(pieces)
-        plain = [i for i, p in enumerate(pieces) if "<|" not in p and len(p) <= self.longest]
-        for lo in range(0, len(plain), 4096):
-            some = plain[lo : lo + 4096]
-            ids = np.array(self.tokenizer.encode(self.SEP.join(pieces[i] for i in some), add_special_tokens=False).ids, np.uint32)
-            for i, part in zip(some, np.split(ids, np.flatnonzero(ids == self.SEP_ID)), strict=True):
-                out[i] = part[1:] if i != some[0] else part
-        for i, got in enumerate(out):
-            if got is None:
-                out[i] = np.array(self.tokenizer.encode(pieces[i], add_special_tokens=False).ids, np.uint32)
+        self.most_pieces, self.most_ids = most_pieces, most_ids
+        self.marks: dict[str, list[int]] = {}
+        # the byte alphabet: printable bytes stand for themselves, the others follow from U+0100 on
+        own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        self.alphabet = {b: 0x100 + i for i, b in enumerate(sorted(set(range(0x100)) - set(own)))}
+        self.forget()
+
+    def latin(self, word: str) -> str | None:
+        """A word of composed Latin letters in the model's byte alphabet; None for any other."""
+        if word.isascii():
+            return word if word.isalpha() else None
+        if not word.isalpha() or max(word) >= self.LATIN_END or "\u0130" in word:
+            return None
+        return word.lower().encode().decode("latin-1").translate(self.alphabet)
+
+    def forget(self) -> None:
+        self.code: dict[str, int] = {}
+        self.pool = np.array([END_ID], np.uint32)
+        self.first = np.zeros(1, np.int64)  # entry 0 is the end of a document
+        self.size = np.ones(1, np.int64)
+        self.stop = np.zeros(1, bool)
+
+    def whole(self, pieces: list[str]) -> list[list[int]]:
+        """Ids by the whole tokenizer: many pieces at once, parted by a special token they don't hold."""
+        out: list[list[int]] = []
+        for lo in range(0, len(pieces), 2048):
+            some = pieces[lo : lo + 2048]
+            if any("<|" in p for p in some):
+                out += [self.tokenizer.encode(p, add_special_tokens=False).ids for p in some]
+                continue
+            got = self.tokenizer.encode_batch_fast([self.SEP.join(some)], add_special_tokens=False)[0].ids
+            cuts = [-1, *(i for i, x in enumerate(got) if x == self.SEP_ID), len(got)]
+            out += [got[a + 1 : b] for a, b in zip(cuts, cuts[1:], strict=False)]
         return out
 
-    def __call__(self, pieces: list[str]) -> list[np.ndarray]:
-        new = list(dict.fromkeys(p for p in pieces if p not in self.cache))
-        if len(self.cache) + len(new) > self.cache_size:
-            self.cache.clear()
-            new = list(dict.fromkeys(pieces))
-        fresh = dict(zip(new, self._encode(new), strict=True))
-        got = [fresh[p] if p in fresh else self.cache[p] for p in pieces]
-        self.cache.update((p, ids) for p, ids in fresh.items() if len(p) <= self.longest)
-        return got
+    def learn(self, pieces: list[str]) -> None:
+        """Add new pieces to the table."""
+        ids: list[list[int] | None] = []
+        tokenize = self.tokenizer.model.tokenize
+        for p in pieces:
+            word = p.rstrip(self.MARKS)
+            plain = self.latin(word)
+            if plain is not None:
+                got = [t.id for t in tokenize(plain)]
+                if len(word) < len(p):
+                    end = p[len(word) :]
+                    if end not in self.marks:
+                        self.marks[end] = self.whole([end])[0]
+                    got += self.marks[end]
+                ids.append(got)
+            else:
+                ids.append(None)
+        rest = [i for i, got in enumerate(ids) if got is None]
+        for i, got in zip(rest, self.whole([pieces[i] for i in rest]), strict=True):
+            ids[i] = got
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.code.update(zip(pieces, range(len(self.size), len(self.size) + len(pieces)), strict=True))
+        self.first = np.concatenate([self.first, len(self.pool) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.stop = np.concatenate([self.stop, np.fromiter((p.rstrip(CLOSERS).endswith(STOPS) for p in pieces), bool, len(pieces))])
+        self.pool = np.concatenate([self.pool, np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(size.sum()))])
+
+    def codes(self, pieces: list[str]) -> np.ndarray:
+        """Entries of distinct pieces in the table."""
+        if len(self.code) > self.most_pieces or len(self.pool) > self.most_ids:
+            self.forget()
+        new = [p for p in pieces if p not in self.code]
+        if new:
+            self.learn(new)
+        return np.fromiter(map(self.code.__getitem__, pieces), np.int64, len(pieces))
 
 
 def encode_texts(texts: pa.Array, encoder: WordEncoder) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All ids of the texts (each followed by END_ID), ids per text, and positions after sentence ends."""
-    words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-    per_text = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+    """All ids of the texts (each followed by END_ID), ids per text, and positions after sentence ends.
+
+    ASCII letters are lowered first, as the tokenizer would, so that pieces differ by less.
+    """
+    words = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    last = np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False))
     coded = words.flatten().dictionary_encode()
-    pieces = coded.dictionary.to_pylist()
-    code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    ids_of = encoder(pieces)
-    sizes = np.fromiter((len(x) for x in ids_of), np.int64, len(ids_of))
-    stop = np.fromiter((p.rstrip("\"')]}»”’")[-1:] in (".", "!", "?", "…", "。", "！", "？") and p != "" for p in pieces), bool, len(pieces))
-    pool = np.concatenate([*ids_of, np.zeros(0, np.uint32)])
-    first = np.concatenate([[0], np.cumsum(sizes)])[:-1]
-    # one END_ID piece after the last word of each text
-    ends = np.cumsum(per_text)
-    code = np.insert(code, ends, len(pieces))
-    pool = np.append(pool, np.uint32(END_ID))
-    sizes, first, stop = np.append(sizes, 1), np.append(first, len(pool) - 1), np.append(stop, False)
-    n = sizes[code]
+    entries = encoder.codes(coded.dictionary.to_pylist())
+    entry = np.insert(entries[coded.indices.to_numpy(zero_copy_only=False)], last, 0)
+    n = encoder.size[entry]
     after = np.cumsum(n)
-    total = int(after[-1]) if len(after) else 0
-    ids = pool[np.repeat(first[code] - (after - n), n) + np.arange(total)]
-    doc_after = after[ends + np.arange(len(ends))]
-    return ids, np.diff(doc_after, prepend=0), after[stop[code]]
+    ids = encoder.pool[np.repeat(encoder.first[entry] - after + n, n) + np.arange(int(n.sum()))]
+    doc_after = after[last + np.arange(len(last))]
+    return ids, np.diff(doc_after, prepend=0), after[encoder.stop[entry]]
 
 
 def candidates(doc_ends: np.ndarray, sentence_ends: np.ndarray, hard_step: int) -> tuple[np.ndarray, np.ndarray]:
@@ -280,7 +324,7 @@ def pack(
 
         for b in batches:
             keys, texts = b.column(0), b.column(1)
-            for lo, hi in slices(texts, 2 << 20):
+            for lo, hi in slices(texts, 4 << 20):
                 packer.add(keys[lo:hi].to_pylist(), *encode_texts(texts[lo:hi], encoder))
                 if len(packer.ids) >= block_tokens:
                     yield batch(packer.flush(last=False))
