@@ -19,6 +19,8 @@ while there are at most ``broadcast_cells`` cells, beyond that by a join that sa
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,8 +30,10 @@ from revlens.session import checkpoint_dir
 ALPHA, SWEEPS, SEED = 0.8, 8, "mix"
 DIMENSIONS = ("source", "lang", "topic")
 
-# --- fixed values: forms of a text, in order of precedence; shares are of its characters ----------
-DIGIT_SHARE, SYMBOL_SHARE, LONG_CHARS, SHORT_CHARS = 0.05, 0.10, 8000, 600
+# --- fixed values: forms of a text, in order of precedence; lengths in characters ----------------
+MARKS = ("###", "***", "$$$", "%%%", "&&&", "!! ", "===", "~~~")
+LONG_CHARS, SHORT_CHARS = 8000, 600
+SPACES = "[ \\t\\n\\x0B\\f\\r]+"
 # -------------------------------------------------------------------------------------------------
 
 
@@ -40,20 +44,18 @@ def key(c: Column) -> Column:
 
 def count_words(text: Column) -> Column:
     """White-space separated words; 0 for null or blank texts."""
-    plain = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), "[ \\t\\n\\x0B\\f\\r]+", " "))
-    return F.when(plain == "", F.lit(0)).otherwise(F.length(plain) - F.length(F.translate(plain, " ", "")) + 1).cast("long")
+    words = F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), "")
+    return F.size(words).cast("long")
 
 
 def form_topic(text: Column) -> Column:
-    """A text's form: empty, table, numeric, symbols, long, short or prose."""
+    """A text's form: empty, table (has a bar), marked (has runs of marks), long, short or prose."""
     n = F.length(text)
-    digits = n - F.length(F.translate(text, "0123456789", ""))
-    symbols = n - F.length(F.translate(text, "#$%&*+/<=>@[]^_`{}~|", ""))
+    marked = reduce(lambda a, b: a | b, [F.contains(text, F.lit(m)) for m in MARKS])
     return (
         F.when(text.isNull() | (n == 0), "empty")
-        .when(F.instr(text, "|") > 0, "table")
-        .when(digits >= DIGIT_SHARE * n, "numeric")
-        .when(symbols >= SYMBOL_SHARE * n, "symbols")
+        .when(F.contains(text, F.lit("|")), "table")
+        .when(marked, "marked")
         .when(n >= LONG_CHARS, "long")
         .when(n < SHORT_CHARS, "short")
         .otherwise("prose")
@@ -173,14 +175,12 @@ def mix_sources(
 
 def mix_sql(alpha: float = ALPHA, sweeps: int = SWEEPS, seed: str = SEED) -> str:
     """DuckDB SQL for op8: the raking steps, one after the other, as window sums."""
-    plain = "trim(regexp_replace(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g'))"
-    topic = f"""CASE WHEN text IS NULL OR length(text) = 0 THEN 'empty' WHEN contains(text, '|') THEN 'table'
-      WHEN length(text) - length(translate(text, '0123456789', '')) >= {DIGIT_SHARE}::DOUBLE * length(text) THEN 'numeric'
-      WHEN length(text) - length(translate(text, '#$%&*+/<=>@[]^_`{{}}~|', '')) >= {SYMBOL_SHARE}::DOUBLE * length(text) THEN 'symbols'
+    marked = " OR ".join(f"contains(text, '{m}')" for m in MARKS)
+    topic = f"""CASE WHEN text IS NULL OR length(text) = 0 THEN 'empty' WHEN contains(text, '|') THEN 'table' WHEN {marked} THEN 'marked'
       WHEN length(text) >= {LONG_CHARS} THEN 'long' WHEN length(text) < {SHORT_CHARS} THEN 'short' ELSE 'prose' END"""
+    words = f"len(list_filter(regexp_split_to_array(coalesce(text, ''), '{SPACES}'), lambda x: x <> ''))"
     steps = [
-        f"""WITH d AS (SELECT doc_id, source, lang, {topic} AS topic,
-      CASE WHEN {plain} = '' THEN 0 ELSE len(string_split({plain}, ' ')) END AS tokens FROM documents),
+        f"""WITH d AS (SELECT doc_id, source, lang, {topic} AS topic, {words} AS tokens FROM documents),
 k AS (SELECT *, coalesce('=' || source, '') AS ks, coalesce('=' || lang, '') AS kl, coalesce('=' || topic, '') AS kt FROM d),
 c AS (SELECT ks, kl, kt, sum(tokens)::DOUBLE AS tokens, 1.0::DOUBLE AS f FROM k GROUP BY ALL)"""
     ]
