@@ -217,10 +217,10 @@ g AS (SELECT row_no, doc_id, unit, unit_no, unit_text, unit_size, words[i] || '
 d AS (SELECT row_no, doc_id, unit, unit_no, unit_text, template, license,
              2.0::DOUBLE * sum(least(n, template_count)) / (unit_size + template_size) AS dice
       FROM g JOIN t USING (bigram)
-      WHERE unit_size BETWEEN {low!r} * template_size AND {high!r} * template_size
+      WHERE unit_size BETWEEN {low!r}::DOUBLE * template_size AND {high!r}::DOUBLE * template_size
       GROUP BY row_no, doc_id, unit, unit_no, unit_text, unit_size, template, license, template_size)
 SELECT doc_id, unit, CAST(unit_no AS INTEGER) AS unit_no, license, CAST(template AS INTEGER) AS template, dice, unit_text
-FROM d WHERE dice >= {threshold!r}
+FROM d WHERE dice >= {threshold!r}::DOUBLE
 QUALIFY row_number() OVER (PARTITION BY row_no, unit, unit_no ORDER BY dice DESC, template) = 1
 """
 
