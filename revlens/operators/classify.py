@@ -9,14 +9,13 @@ seeded random sample of the grid with stratified folds from :mod:`revlens.operat
 from __future__ import annotations
 
 import random
-from dataclasses import dataclass
 
 import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes, OneVsRest, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer
+from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer, SQLTransformer
 from pyspark.ml.linalg import DenseVector
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol, Param, Params, TypeConverters
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -32,13 +31,13 @@ from revlens.operators.split import assign_folds, with_class_weights
 class SmoothTfidf(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     """Smoothed TF-IDF over token arrays, L2-normalised (B4 as an Estimator)."""
 
-    vocabSize = Param(Params._dummy(), "vocabSize", "max vocabulary size", typeConverter=TypeConverters.toInt)
+    vocabSize = Param(Params._dummy(), "vocabSize", "max vocabulary size (the default keeps every term)", typeConverter=TypeConverters.toInt)
     minDF = Param(Params._dummy(), "minDF", "minimum document frequency", typeConverter=TypeConverters.toFloat)
 
     @keyword_only
-    def __init__(self, inputCol="tokens", outputCol="features", vocabSize=1 << 18, minDF=1.0):
+    def __init__(self, inputCol="tokens", outputCol="features", vocabSize=(1 << 31) - 1, minDF=1.0):
         super().__init__()
-        self._setDefault(vocabSize=1 << 18, minDF=1.0)
+        self._setDefault(vocabSize=(1 << 31) - 1, minDF=1.0)
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame):
@@ -53,19 +52,20 @@ class SmoothTfidf(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, D
 
 
 def balanced(df: DataFrame, label: str = "label", weight_col: str = "weight") -> DataFrame:
-    return with_class_weights(df, label, weight_col)
+    """Balanced weights, counted over the training rows where ``df`` has a ``split``."""
+    train = df.where(F.col("split") == "train") if "split" in df.columns else df
+    return with_class_weights(df, label, weight_col, train)
 
 
 def fit_input(df: DataFrame, rows_per_partition: int = 1_000_000) -> DataFrame:
-    """Cache the input of an iterative estimator with partitions sized by row count.
+    """Cache the input of an iterative estimator; the caller releases it.
 
-    Every optimizer iteration is a job over all partitions, so a small training set spread
-    over many partitions pays the task overhead hundreds of times; a large one keeps (at
-    least) one partition per ``rows_per_partition`` rows.
+    Every optimizer iteration is a job over all partitions, so they are coalesced to one per
+    ``rows_per_partition`` rows, but never below the number of cores.
     """
     df = df.cache()
     n = df.count()
-    target = max(1, -(-n // rows_per_partition))
+    target = max(df.sparkSession.sparkContext.defaultParallelism, -(-n // rows_per_partition))
     if df.rdd.getNumPartitions() > target:
         out = df.coalesce(target).cache()
         out.count()
@@ -89,23 +89,19 @@ def linear_svc(C: float, n_weight: float, max_iter: int = 100, parallelism: int
 
 
 # M3 ----------------------------------------------------------------------------------------------
-@dataclass
-class CalibratedModel:
-    """OvR margins -> multinomial logistic regression -> class probabilities."""
+def margins() -> SQLTransformer:
+    """Renames a model's raw scores, so that a second model can follow in the pipeline."""
+    return SQLTransformer(
+        statement="SELECT * EXCEPT (rawPrediction, prediction), rawPrediction AS margins, prediction AS svc_prediction FROM __THIS__"
+    )
 
-    base: object
-    calibrator: object
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        scored = self.base.transform(df).withColumnRenamed("prediction", "svc_prediction")
-        out = self.calibrator.transform(scored.withColumnRenamed("rawPrediction", "margins"))
-        return out
-
-
-def calibrate(model, held_out: DataFrame) -> CalibratedModel:
-    scored = model.transform(held_out).withColumnRenamed("rawPrediction", "margins").drop("prediction")
+def calibrate(model, held_out: DataFrame) -> PipelineModel:
+    """OvR margins -> multinomial logistic regression -> class probabilities, as one savable pipeline."""
+    rename = margins()
+    scored = rename.transform(model.transform(held_out))
     lr = LogisticRegression(featuresCol="margins", labelCol="label", family="multinomial", regParam=1e-3)
-    return CalibratedModel(model, lr.fit(scored))
+    return PipelineModel(stages=[model, rename, lr.fit(scored)])
 
 
 # M4 ----------------------------------------------------------------------------------------------

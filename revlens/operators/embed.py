@@ -54,9 +54,12 @@ def idf_pool(df: DataFrame, key: str, tokens_col: str, vectors: DataFrame, idf:
     return out.withColumn("embeds", F.coalesce(F.col("embeds"), _zeros(dim)))
 
 
-def train_word2vec(df: DataFrame, tokens_col: str, vector_size: int = 100, window: int = 5, min_count: int = 5, seed: int = 42, max_iter: int = 1):
-    """skip-gram word vectors over token arrays (``pyspark.ml.feature.Word2Vec``)."""
-    w2v = Word2Vec(vectorSize=vector_size, windowSize=window, minCount=min_count, seed=seed, maxIter=max_iter, inputCol=tokens_col, outputCol="__w2v")
+def train_word2vec(df: DataFrame, tokens_col: str, vector_size: int = 100, window: int = 5, min_count: int = 5, seed: int = 42, max_iter: int = 1, partitions: int | None = None):
+    """skip-gram word vectors over token arrays (``pyspark.ml.feature.Word2Vec``).
+
+    Trained in as many partitions as the input has unless ``partitions`` says otherwise."""
+    partitions = partitions or max(1, df.rdd.getNumPartitions())
+    w2v = Word2Vec(numPartitions=partitions, vectorSize=vector_size, windowSize=window, minCount=min_count, seed=seed, maxIter=max_iter, inputCol=tokens_col, outputCol="__w2v")
     return w2v.fit(df.select(tokens_col))
 
 

@@ -122,9 +122,11 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
     )
 
 
-def with_class_weights(df: DataFrame, label: str, weight_col: str = "weight") -> DataFrame:
-    w = class_weights(df, label).select(label, F.col("weight").alias(weight_col))
-    return df.join(F.broadcast(w), label)  # one row per class
+def with_class_weights(df: DataFrame, label: str, weight_col: str = "weight", counted: DataFrame | None = None) -> DataFrame:
+    """``df`` with the balanced weights of the rows of ``counted`` (all of ``df`` by default); classes
+    that have no counted row get a null weight."""
+    w = class_weights(df if counted is None else counted, label).select(label, F.col("weight").alias(weight_col))
+    return df.join(F.broadcast(w), label, "left")  # one row per class
 
 
 # O3 -------------------------------------------------------------------------------------------

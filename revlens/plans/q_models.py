@@ -22,7 +22,7 @@ from revlens.sources import files as FS
 from revlens.sources.registry import log_run, new_run_id, resolve_model_path
 from revlens.sources.tables import read_table
 
-W2V_DIM = 50
+W2V_DIM = 100
 
 
 # F1 / F2 / F5 ------------------------------------------------------------------------------------
@@ -68,7 +68,7 @@ def embedded_sets(spark, sf):
         F.col("vec_id").alias("doc_id"), F.col("label").cast("int").alias("label"), F.col("embedding").cast("array<double>").alias("embeds")
     )
     e = S.split_threshold(EM.features(e))
-    return CL.fit_input(CL.balanced(e, "label"))  # iterative fits read it many times
+    return CL.fit_input(CL.balanced(e))  # iterative fits read it many times
 
 
 def review_sets(spark, sf):
@@ -136,15 +136,34 @@ def q_tune(spark, sf):
 @query("predict_saved")
 def q_predict_saved(spark, sf):
     train, test = _train_test(embedded_sets(spark, sf))
-    model = CL.random_forest(50, 3).fit(train)
+    model = CL.random_forest(100, 4).fit(train)
     root = scratch_path(spark, "models-" + new_run_id())
     run = new_run_id()
     path = FS.save_model(model, f"{root}/random_forest/{run}")
-    log_run(spark, root, "random_forest", run, {"numTrees": 50, "maxDepth": 3}, {("train", "rows"): float(train.count())}, path)
+    log_run(spark, root, "random_forest", run, {"numTrees": 100, "maxDepth": 4}, {("train", "rows"): float(train.count())}, path)
     loaded = FS.load_model(RandomForestClassificationModel, resolve_model_path(spark, root, "random_forest"))
     return _pred_cols(CL.predict(loaded, test))
 
 
+# M7 -----------------------------------------------------------------------------------------------
+@query("train_predict")
+def q_train_predict(spark, sf):
+    """M7 + M6: an SVC and a forest trained on embeddings, calibrated, saved, reloaded and applied."""
+    from revlens.workflows import predict_latest, train_classifier
+
+    e = read_table(spark, sf, "embeddings").select(
+        F.col("vec_id").alias("doc_id"), F.col("label").cast("int").alias("label"), F.col("embedding").cast("array<double>").alias("embeds")
+    )
+    data = S.carve_validation(S.split_threshold(e.where("label < 3")), frac=0.2)
+    root = scratch_path(spark, "train-" + new_run_id())
+    parts = []
+    for kind in ("rf", "svc"):
+        train_classifier(spark, data, root, kind=kind, features="embeds", n_iter=1, folds=2)
+        pred, _ = predict_latest(spark, root, kind, data.where("split = 'test'"))
+        parts.append(_pred_cols(pred).withColumn("model", F.lit(kind)))
+    return parts[0].unionByName(parts[1])
+
+
 # M8 ----------------------------------------------------------------------------------------------
 @query("batch_score")
 def q_batch_score(spark, sf):
@@ -173,7 +192,7 @@ def q_model_matrix(spark, sf):
         for kind in ("nb", "svc", "rf"):
             if kind == "nb" and fname != "tfidf":
                 continue
-            model = CL.fit_classifier(kind, tr, n_weight=n_weight, num_trees=50, max_depth=4)
+            model = CL.fit_classifier(kind, tr, n_weight=n_weight, num_trees=100, max_depth=4)
             m = CL.evaluate_predictions(model.transform(te))
             rows.append((fname, kind, m["accuracy"], m["macro_f1"], m["weighted_f1"]))
     sets.unpersist()
@@ -193,76 +212,77 @@ def _class_corpora(spark, sf):
         v = voc.where(F.col("sentiment") == c)
         terms = TP.vocab_list(v)
         n = docs.count()
-        if not terms or n == 0:
-            continue
-        counts = TP.count_vectors(docs, "toks", terms)
+        counts = TP.count_vectors(docs, "toks", terms) if terms else None
         dt = docs.select("doc_id", F.explode(F.array_distinct("toks")).alias("term"))
         out[c] = (docs, v, terms, n, counts, dt)
     return out
 
 
+def _with_terms(spark, sf):
+    """The classes that have a vocabulary; the others have no topics to list."""
+    return {c: x for c, x in _class_corpora(spark, sf).items() if x[2]}
+
+
+def _union(spark, parts, schema):
+    """All parts; a table without rows if there are none."""
+    out = spark.createDataFrame([], schema)
+    for p in parts:
+        out = out.unionByName(p)
+    return out
+
+
 @query("lda")
 def q_lda(spark, sf):
     parts = []
-    for c, (_, _, terms, n, counts, dt) in _class_corpora(spark, sf).items():
-        m = TP.fit_lda(counts, 10, "symmetric", "symmetric", n_docs=n)
+    for c, (_, _, terms, n, counts, dt) in _with_terms(spark, sf).items():
+        m = TP.fit_lda(counts, 10, "symmetric", "symmetric")
         parts.append(TP.lda_topics(m, spark, terms, 20).withColumn("sentiment", F.lit(c)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return _union(spark, parts, "topic int, rank int, term string, weight double, sentiment int")
 
 
 @query("doc_topics")
 def q_doc_topics(spark, sf):
+    """Every labelled document; those of a class without a vocabulary get the uniform mixture."""
     parts = []
-    for c, (_, _, terms, n, counts, _) in _class_corpora(spark, sf).items():
-        m = TP.fit_lda(counts, 10, "symmetric", "symmetric", n_docs=n)
+    for c, (docs, _, terms, n, counts, _) in _class_corpora(spark, sf).items():
+        if not terms:
+            uniform = docs.select("doc_id", F.array_repeat(F.lit(0.1), 10).alias("mixture"), F.lit(0).alias("topic"))
+            parts.append(uniform.withColumn("sentiment", F.lit(c)))
+            continue
+        m = TP.fit_lda(counts, 10, "symmetric", "symmetric")
         parts.append(TP.doc_topics(m, counts).withColumn("sentiment", F.lit(c)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return _union(spark, parts, "doc_id bigint, mixture array<double>, topic int, sentiment int")
 
 
 @query("lsi")
 def q_lsi(spark, sf):
     parts = []
-    for c, (_, v, terms, n, counts, _) in _class_corpora(spark, sf).items():
+    for c, (_, v, terms, n, counts, _) in _with_terms(spark, sf).items():
         k = min(10, len(terms))
         Vm, s = TP.lsi_svd(TP.tfidf_vectors(counts, v, n), k)
         parts.append(TP.lsi_topics(spark, Vm, s, terms, k, 20).withColumn("sentiment", F.lit(c)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return _union(spark, parts, "topic int, rank int, term string, weight double, sentiment int")
 
 
 @query("lda_grid")
 def q_lda_grid(spark, sf):
     parts = []
-    for c, (docs, _, terms, n, counts, dt) in _class_corpora(spark, sf).items():
+    for c, (docs, _, terms, n, counts, dt) in _with_terms(spark, sf).items():
         g = TP.lda_grid(spark, counts, dt, terms, n, ks=[3, 5], alphas=[0.01, "symmetric"], betas=[0.91])
         parts.append(g.withColumn("sentiment", F.lit(c)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return _union(spark, parts, "model int, num_topics int, alpha string, beta string, coherence double, sentiment int")
 
 
 @query("lsi_grid")
 def q_lsi_grid(spark, sf):
     parts = []
-    for c, (_, v, terms, n, counts, dt) in _class_corpora(spark, sf).items():
+    for c, (_, v, terms, n, counts, dt) in _with_terms(spark, sf).items():
         ks = list(range(2, min(12, len(terms)) + 1))
         if not ks:
             continue
         g = TP.lsi_grid(spark, TP.tfidf_vectors(counts, v, n), dt, terms, n, ks)
         parts.append(g.withColumn("sentiment", F.lit(c)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return _union(spark, parts, "num_topics int, coherence double, sentiment int")
 
 
 @query("gsdmm")

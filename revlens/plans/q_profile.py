@@ -10,7 +10,7 @@ from revlens.operators import profile as P
 from revlens.operators import split as S
 from revlens.plans import sqlgen as G
 from revlens.plans.registry import query
-from revlens.sources.tables import labelled_reviews, read_table, reviews
+from revlens.sources.tables import labelled_reviews, reviews, unlabelled_reviews
 
 W = f"WITH {G.REVIEWS_CTE}"
 LAB = f"WITH {G.REVIEWS_CTE}, lab AS (SELECT * FROM reviews WHERE sentiment IS NOT NULL)"
@@ -63,7 +63,7 @@ _STATS = ("mean", "std", "min", "p25", "p50", "p75", "max")
 
 @query("rating_stats", W + " " + _describe_sql("reviews", "rating"))
 def q_rating_stats(spark, sf):
-    return _round(P.describe_numeric(reviews(spark, sf), "rating"), *_STATS)
+    return _round(P.describe_numeric(unlabelled_reviews(spark, sf), "rating"), *_STATS)
 
 
 @query(
@@ -71,7 +71,7 @@ def q_rating_stats(spark, sf):
     W + f", lens AS (SELECT len({G.tokenize('text')}) AS doc_len FROM reviews) " + _describe_sql("lens", "doc_len"),
 )
 def q_length_stats(spark, sf):
-    df = reviews(spark, sf).select(T.doc_length(T.tokenize(F.col("text"))).alias("doc_len"))
+    df = unlabelled_reviews(spark, sf).select(T.doc_length(T.tokenize(F.col("text"))).alias("doc_len"))
     return _round(P.describe_numeric(df, "doc_len"), *_STATS)
 
 
@@ -82,7 +82,7 @@ def q_length_stats(spark, sf):
     "SELECT rating, n, round(n / sum(n) OVER (), 2) AS proportion FROM c",
 )
 def q_rating_distribution(spark, sf):
-    return P.value_distribution(reviews(spark, sf), "rating")
+    return P.value_distribution(unlabelled_reviews(spark, sf), "rating")
 
 
 # A3 --------------------------------------------------------------------------------------------
@@ -168,7 +168,7 @@ def _case_sql(col: str, mapping: dict) -> str:
 
 @query("label_map", W + f" SELECT doc_id, rating, {_case_sql('rating', RATING_TO_LABEL)} AS labels FROM reviews")
 def q_label_map(spark, sf):
-    return P.recode_labels(reviews(spark, sf).select("doc_id", "rating"), RATING_TO_LABEL, "rating", "labels")
+    return P.recode_labels(unlabelled_reviews(spark, sf).select("doc_id", "rating"), RATING_TO_LABEL, "rating", "labels")
 
 
 @query(
@@ -213,9 +213,7 @@ def q_null_drop(spark, sf):
     "d.n_chars FROM documents d JOIN labels l ON d.doc_id = l.doc_id",
 )
 def q_label_join(spark, sf):
-    return labelled_reviews(spark, sf).join(read_table(spark, sf, "documents").select("doc_id", "n_chars"), "doc_id").select(
-        "doc_id", "sentiment", "n_chars"
-    )
+    return labelled_reviews(spark, sf).select("doc_id", "sentiment", "n_chars")
 
 
 # R1 --------------------------------------------------------------------------------------------
@@ -226,7 +224,7 @@ def q_label_join(spark, sf):
     "WHEN rank <= floor(n * 0.9) THEN 'train' ELSE 'test' END AS split FROM r",
 )
 def q_split_exact(spark, sf):
-    return S.split_exact(reviews(spark, sf).select("doc_id")).select("doc_id", "rank", "split")
+    return S.split_exact(unlabelled_reviews(spark, sf).select("doc_id")).select("doc_id", "rank", "split")
 
 
 # R2 --------------------------------------------------------------------------------------------
@@ -235,7 +233,7 @@ R2_SQL = f"CASE WHEN CAST(('0x' || substr({HASH}, 1, 8)) AS BIGINT) % 1000 < 750
 
 @query("split_threshold", W + f" SELECT doc_id, {R2_SQL} AS split FROM reviews")
 def q_split_threshold(spark, sf):
-    return S.split_threshold(reviews(spark, sf).select("doc_id"))
+    return S.split_threshold(unlabelled_reviews(spark, sf).select("doc_id"))
 
 
 # R3 --------------------------------------------------------------------------------------------
@@ -246,7 +244,7 @@ def q_split_threshold(spark, sf):
     "SELECT doc_id, CASE WHEN split = 'train' AND rk <= floor(n * 0.2) THEN 'validation' ELSE split END AS split FROM r",
 )
 def q_validation_carve(spark, sf):
-    return S.carve_validation(S.split_threshold(reviews(spark, sf).select("doc_id")))
+    return S.carve_validation(S.split_threshold(unlabelled_reviews(spark, sf).select("doc_id"))).select("doc_id", "split")
 
 
 # R5 --------------------------------------------------------------------------------------------
@@ -255,7 +253,7 @@ def q_validation_carve(spark, sf):
     LAB + f" SELECT doc_id, sentiment, CAST((row_number() OVER (PARTITION BY sentiment ORDER BY {HASH}, doc_id) - 1) % 5 AS INTEGER) AS fold FROM lab",
 )
 def q_fold_assign(spark, sf):
-    return S.assign_folds(labelled_reviews(spark, sf).select("doc_id", "sentiment"), "sentiment")
+    return S.assign_folds(labelled_reviews(spark, sf).select("doc_id", "sentiment"), "sentiment").select("doc_id", "sentiment", "fold")
 
 
 # R6 --------------------------------------------------------------------------------------------
@@ -275,7 +273,7 @@ def q_class_weights(spark, sf):
     "SELECT doc_id FROM r WHERE rk <= floor(n * 0.5)",
 )
 def q_clip_corpus(spark, sf):
-    return S.clip_corpus(reviews(spark, sf).select("doc_id"), 0.5)
+    return S.clip_corpus(unlabelled_reviews(spark, sf).select("doc_id"), 0.5)
 
 
 # P3 --------------------------------------------------------------------------------------------
@@ -285,7 +283,7 @@ def q_clip_corpus(spark, sf):
     "WHEN rating IN (4, 5) THEN 'Positive' END AS sentiment_name FROM reviews",
 )
 def q_rating_sentiment(spark, sf):
-    r = reviews(spark, sf)
+    r = unlabelled_reviews(spark, sf)
     return r.select("doc_id", "rating", P.rating_to_sentiment(F.col("rating")).alias("sentiment_name"))
 
 
@@ -297,4 +295,4 @@ def q_rating_sentiment(spark, sf):
     "SELECT split, CAST(count(*) AS BIGINT) AS n FROM s GROUP BY split",
 )
 def q_split_sizes(spark, sf):
-    return P.value_counts(S.split_exact(reviews(spark, sf).select("doc_id")), "split")
+    return P.value_counts(S.split_exact(unlabelled_reviews(spark, sf).select("doc_id")), "split")

@@ -14,7 +14,7 @@ from revlens.operators import tokens as K
 from revlens.plans import sqlgen as G
 from revlens.plans.q_profile import clean_sql
 from revlens.plans.registry import query
-from revlens.sources.tables import reviews
+from revlens.sources.tables import unlabelled_reviews
 
 # fixed test snippets appended to documents (exercise T2 / T4 on the supplied corpus)
 EXTRAS = [
@@ -37,13 +37,13 @@ WX = W + f", rx AS (SELECT doc_id, {EXTRA_SQL} AS text FROM reviews)"
 
 def with_extras(spark, sf):
     pick = F.element_at(F.array(*[F.lit(x) for x in EXTRAS]), (F.pmod(F.col("doc_id"), F.lit(len(EXTRAS))) + 1).cast("int"))
-    return reviews(spark, sf).select("doc_id", F.concat(F.col("text"), F.lit(" "), pick).alias("text"))
+    return unlabelled_reviews(spark, sf).select("doc_id", F.concat(F.col("text"), F.lit(" "), pick).alias("text"))
 
 
 # T1 --------------------------------------------------------------------------------------------
 @query("fold_accents", W + f" SELECT doc_id, {G.fold_accents('text')} AS folded FROM reviews")
 def q_fold_accents(spark, sf):
-    return reviews(spark, sf).select("doc_id", T.fold_accents(F.col("text")).alias("folded"))
+    return unlabelled_reviews(spark, sf).select("doc_id", T.fold_accents(F.col("text")).alias("folded"))
 
 
 # T2 --------------------------------------------------------------------------------------------
@@ -76,7 +76,7 @@ def q_apostrophe_spacing(spark, sf):
     "SELECT doc_id, array_to_string(toks, ' ') AS tokens, CAST(len(toks) AS INTEGER) AS n_tokens FROM t",
 )
 def q_tokenize(spark, sf):
-    t = reviews(spark, sf).select("doc_id", T.tokenize(F.col("text")).alias("toks"))
+    t = unlabelled_reviews(spark, sf).select("doc_id", T.tokenize(F.col("text")).alias("toks"))
     return t.select("doc_id", T.join_tokens(F.col("toks")).alias("tokens"), T.doc_length(F.col("toks")).alias("n_tokens"))
 
 
@@ -87,7 +87,7 @@ def q_tokenize(spark, sf):
     f"{G.join_tokens(G.stop_filter(G.tokenize('text'), lower_after=True))} AS kept_mixed FROM reviews",
 )
 def q_stopword_filter(spark, sf):
-    r = reviews(spark, sf)
+    r = unlabelled_reviews(spark, sf)
     return r.select(
         "doc_id",
         T.join_tokens(T.remove_stop_words(T.tokenize(F.lower("text")))).alias("kept"),
@@ -130,7 +130,7 @@ def clean_tokens(spark, sf):
     from pyspark import StorageLevel
 
     opts = T.CleanOptions(contraction_expansion=False, correct_apos_whitespace=False, order="reference")
-    toks = reviews(spark, sf).select("doc_id", T.clean_text(F.col("text"), opts).alias("toks"))
+    toks = unlabelled_reviews(spark, sf).select("doc_id", T.clean_text(F.col("text"), opts).alias("toks"))
     return toks.persist(StorageLevel.MEMORY_AND_DISK)
 
 
@@ -178,17 +178,17 @@ def q_pos_filter(spark, sf):
 
 
 # T15 -------------------------------------------------------------------------------------------
-MAX_LEN = 16
+MAX_LEN = 512  # the transformer encoders' maximum
 
 
-def df_vocab(toks, min_df: int = 2, cap: int = 100000):
-    """Terms with document frequency >= min_df, ids 2.. by (df desc, term); at most ``cap``."""
+def df_vocab(toks, min_df: int = 2):
+    """Terms with document frequency >= min_df, ids 2.. by (df desc, term)."""
     dfc = toks.select("doc_id", F.explode(F.array_distinct("toks")).alias("term")).groupBy("term").agg(
         F.count(F.lit(1)).alias("df")
     )
     from revlens.operators.vocab import rank_terms
 
-    ranked = rank_terms(dfc.where(F.col("df") >= min_df)).where(F.col("term_id") < cap)
+    ranked = rank_terms(dfc.where(F.col("df") >= min_df))
     return ranked.select("term", (F.col("term_id") + 2).alias("term_id"), "df")
 
 

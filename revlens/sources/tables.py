@@ -47,20 +47,28 @@ def rating_from_key(key: Column) -> Column:
     return (F.lit(1) + F.pmod(key, F.lit(5))).cast("int")
 
 
+def unlabelled_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The review table without its label: no join, so texts are not shuffled.
+
+    Columns: doc_id, text, category, brand, n_chars, rating.
+    """
+    docs = spread(read_table(spark, sf_dir, "documents"), "doc_id").select(
+        "doc_id", "text", F.col("lang").alias("category"), F.col("source").alias("brand"), "n_chars"
+    )
+    return docs.withColumn("rating", rating_from_key(F.col("doc_id")))
+
+
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """documents LEFT JOIN labels as the review table.
+    """documents LEFT JOIN labels as the review table, for what reads the label.
 
-    Columns: doc_id, text, category, brand, rating, sentiment (null when unlabelled).
+    Columns: doc_id, text, category, brand, n_chars, rating, sentiment (null when unlabelled).
     The join is an equi-join on doc_id; AQE broadcasts ``labels`` only when its runtime size
     is under the broadcast threshold, otherwise it is a shuffle join.
     """
-    docs = spread(read_table(spark, sf_dir, "documents"), "doc_id").select(
-        "doc_id", "text", F.col("lang").alias("category"), F.col("source").alias("brand")
-    )
     labels = read_table(spark, sf_dir, "labels").select(
         "doc_id", sentiment_from_flags(F.col("quality"), F.col("toxic")).alias("sentiment")
     )
-    return docs.join(labels, "doc_id", "left").withColumn("rating", rating_from_key(F.col("doc_id")))
+    return unlabelled_reviews(spark, sf_dir).join(labels, "doc_id", "left")
 
 
 def labelled_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:

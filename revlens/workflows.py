@@ -16,6 +16,7 @@ costs a re-read, not a recomputation of the whole lineage.
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,15 +48,22 @@ def prepare_dataset(
     opts: T.CleanOptions = T.CleanOptions(),
     key: str = "doc_id",
     seed: int = 42,
+    form: str = "text",
 ) -> DataFrame:
     """reviews(key, text, rating) -> ``out_path`` partitioned by split with columns
-    (key, tokens, text, rating, labels)."""
+    (key, tokens, text, rating, labels).
+
+    ``form`` "text" drops rows whose cleaned text is empty (null ``text``, P7 / P8); "tokens" keeps them
+    with an empty token list, as the token form of the reviewed project does.
+    """
+    if form not in ("text", "tokens"):
+        raise ValueError(f"unknown form {form}")
     mapping = label_map or {1: 0, 2: 0, 3: 1, 4: 2, 5: 2}
     df = S.split_exact(reviews.select(key, "text", "rating"), key, seed).drop("rank")
     df = df.withColumn("tokens", T.clean_text(F.col("text"), opts)).drop("text")
     df = df.withColumn("text", F.nullif(T.join_tokens(F.col("tokens")), F.lit("")))
     df = P.recode_labels(df, mapping, "rating", "labels")
-    df = P.drop_incomplete(df, subset=["labels"])
+    df = P.drop_incomplete(df, subset=["labels", "text"] if form == "text" else ["labels"])
     FS.write_splits(df, out_path)
     return FS.read_splits(df.sparkSession, out_path)
 
@@ -77,8 +85,14 @@ def create_embeddings(splits: DataFrame, vectors: DataFrame, dim: int, mode: str
 
 
 def train_classifier(spark: SparkSession, data: DataFrame, registry_root: str, kind: str = "rf", features: str = "tfidf",
-                     tokens_col: str = "tokens", n_iter: int = 10, seed: int = 42) -> dict:
-    """M7: data has (doc_id, label, split, tokens | embeds). Returns metrics and the model path."""
+                     tokens_col: str = "tokens", n_iter: int = 10, seed: int = 42, folds: int = 5) -> dict:
+    """M7: data has (doc_id, label, split, tokens | embeds).
+
+    ``features`` is "tfidf" or the name of an embedding column. Weights and folds come from the training
+    rows. An SVC is calibrated on the validation rows, so every saved model but naive Bayes' own gives
+    probabilities. Predictions of the validation rows, with probabilities, and the class proportions of
+    the training rows are written beside the model. Returns metrics and paths.
+    """
     data = CL.fit_input(CL.balanced(data, "label"))
     train, val = data.where(F.col("split") == "train"), data.where(F.col("split") == "validation")
     stages = []
@@ -95,19 +109,41 @@ def train_classifier(spark: SparkSession, data: DataFrame, registry_root: str, k
         est, grid = CL.svc_grid(n_weight)
     else:
         est, grid = CL.naive_bayes(), [{}]
-    model, cv_score, params = CL.tune(est, grid, train, n_iter=n_iter, seed=seed)
-    metrics = CL.evaluate_predictions(model.transform(val))
+    model, cv_score, params = CL.tune(est, grid, train, n_iter=n_iter, k=folds, seed=seed)
+    if kind == "svc":
+        model = CL.calibrate(model, val)
+    scored = model.transform(val)
+    metrics = CL.evaluate_predictions(scored)
     run = new_run_id()
     path = f"{registry_root.rstrip('/')}/{kind}/{run}"
     PipelineModel(stages=stages + [model]).write().overwrite().save(path)
-    log_run(spark, registry_root, kind, run, params, {("validation", k): v for k, v in metrics.items()} | {("train", "cv_accuracy"): cv_score}, path)
+    reports = f"{registry_root.rstrip('/')}/reports/{kind}-{run}"
+    write_predictions(scored, f"{reports}/predictions")
+    P.value_counts(train, "label").write.mode("overwrite").parquet(f"{reports}/class_counts")
+    log_run(spark, registry_root, kind, run, params | {"features": features}, {("validation", k): v for k, v in metrics.items()} | {("train", "cv_accuracy"): cv_score}, path)
     data.unpersist()
-    return {"run_id": run, "path": path, "params": params, "cv_accuracy": cv_score, **metrics}
+    return {"run_id": run, "path": path, "reports": reports, "params": params, "cv_accuracy": cv_score, **metrics}
+
+
+def write_predictions(scored: DataFrame, path: str) -> None:
+    """(doc_id, label, prediction, probability) of scored rows as Parquet."""
+    scored.select(
+        "doc_id", F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"),
+        vector_to_array("probability").alias("probability"),
+    ).write.mode("overwrite").parquet(path)
 
 
-def predict_latest(spark: SparkSession, registry_root: str, kind: str, data: DataFrame, path: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """M6: (predictions, K x K confusion matrix) with the latest or an explicit model."""
+def predict_latest(spark: SparkSession, registry_root: str, kind: str, data: DataFrame, path: str | None = None,
+                   embeds_col: str = "embeds", out_path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """M6: (predictions, K x K confusion matrix) with the latest or an explicit model.
+
+    Models trained on embeddings read ``embeds_col`` of ``data``. ``out_path`` also writes the predictions.
+    """
     model = PipelineModel.load(resolve_model_path(spark, registry_root, kind, path))
+    if "features" not in data.columns and embeds_col in data.columns:
+        data = EM.features(data, embeds_col)
+    if out_path:
+        write_predictions(model.transform(data), out_path)
     pred = model.transform(data).withColumn("prediction", F.col("prediction").cast("int"))
     return pred, EV.confusion_matrix(pred.select(F.col("label").cast("int"), "prediction"))
 

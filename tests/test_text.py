@@ -173,3 +173,15 @@ def test_explode_rows_equals_explode(spark):
     toks = spark.createDataFrame([("a b",)], "text string").select(T.clean_text(F.col("text")).alias("tokens"))
     plan = explode_rows(toks, [], "tokens", "w")._jdf.queryExecution().optimizedPlan().toString()
     assert "size(" not in plan
+
+
+def test_parse_list_reads_repr(spark):
+    lists = [["a\xa0b"], ["a", None], ["don't", 'say "x"'], [], ["back\\slash", "it's \"both\""]]
+    df = spark.createDataFrame([(repr(x),) for x in lists], "s string")
+    assert [r[0] for r in df.select(K.parse_list(F.col("s"))).collect()] == lists
+
+
+def test_stop_list_equals_sparks(spark):
+    from pyspark.ml.feature import StopWordsRemover
+
+    assert list(spark_stop_words()) == list(StopWordsRemover.loadDefaultStopWords("english"))

@@ -60,3 +60,24 @@ def test_tune_topics_refits_best(spark):
     saved = [r["sentiment"] for r in grid.select("sentiment").distinct().collect()]
     m = LocalLDAModel.load(f"{out}/lda/lda_{saved[0]}")
     assert m.getK() in (2, 3)
+
+
+def test_prepare_drops_empty_texts_from_the_text_form(spark):
+    out = tempfile.mkdtemp(prefix="revlens-forms-")
+    rows = spark.createDataFrame([(i, "!!!" if i % 2 else "good phone", 5) for i in range(20)], "doc_id long, text string, rating int")
+    assert WF.prepare_dataset(rows, out + "/text").count() == 10
+    tokens = WF.prepare_dataset(rows, out + "/tokens", form="tokens")
+    assert tokens.count() == 20 and tokens.where(F.size("tokens") == 0).count() == 10
+
+
+def test_train_and_predict_on_embeddings(spark):
+    out = tempfile.mkdtemp(prefix="revlens-embeds-")
+    rows = [(i, i % 2, [float(i % 2) + (i % 7) * 0.01, 1.0], ("train", "train", "train", "validation", "test")[i % 5]) for i in range(100)]
+    data = spark.createDataFrame(rows, "doc_id long, label int, embeds array<double>, split string")
+    for kind in ("svc", "rf"):
+        got = WF.train_classifier(spark, data, out + "/registry", kind=kind, features="embeds", n_iter=1, folds=2)
+        assert got["accuracy"] == 1.0
+        stored = spark.read.parquet(got["reports"] + "/predictions")
+        assert stored.count() == 20 and stored.where(F.abs(F.aggregate("probability", F.lit(0.0), lambda a, x: a + x) - 1) > 1e-9).isEmpty()
+        pred, _ = WF.predict_latest(spark, out + "/registry", kind, data.where("split = 'test'"), out_path=out + "/" + kind)
+        assert pred.where("label <> prediction").isEmpty() and spark.read.parquet(out + "/" + kind).count() == 20
