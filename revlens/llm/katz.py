@@ -19,10 +19,11 @@ Stages; rows hold compressed integer arrays, a slab is about ``slab_chars`` char
    frequent that it would crowd a bucket is dealt by (context, word). A bucket adds up training counts,
    which are the model's table, and evaluates its part of every document: discounts of seen bigrams are
    counted by r, since they depend on counts of counts of all buckets, and unseen ones keep what a(v) needs.
-4. scores: with the discounts, parts become numbers and are added per document.
+4. scores: the parts of a slab meet again; with the discounts they become numbers, added per document.
 
 Every table is written to the shared folder: ``words`` and ``bigrams`` (the model), ``parts``. The driver
-holds totals, counts of counts and the sums of the few split contexts. Memory of a task follows
+holds totals, counts of counts and the sums of the few split contexts. Sums of parts are kept in single
+precision, which bounds a score's relative error by about 1e-7. Memory of a task follows
 ``slab_chars`` and ``bucket_tokens``, not the corpus.
 """
 
@@ -52,7 +53,7 @@ def squeeze(x: np.ndarray) -> bytes:
     """A compressed integer or float array: byte planes, zstd."""
     x = np.ascontiguousarray(x)
     planes = x.view(np.uint8).reshape(len(x), x.itemsize).T if len(x) else np.zeros((0, 0), np.uint8)
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+    return zstandard.ZstdCompressor(level=4).compress(np.ascontiguousarray(planes).tobytes())
 
 
 def expand(b: bytes, dtype: type) -> np.ndarray:
@@ -315,7 +316,7 @@ def evaluate_buckets(uni: Unigrams, crowd: float):
                     event = np.flatnonzero(kind < 0)
                     need, ev = np.unique(of[lead][mine[event]], return_inverse=True)
                     out.append(
-                        (rows[0]["bucket"], r["slab"], squeeze(context[need]), squeeze(context_count[need]), squeeze(facts[need].ravel()), squeeze((context_count[need] > crowd).astype(np.uint8)), *[None] * 3, squeeze(present.astype(np.uint32)), squeeze(sums), squeeze(by_r.astype(np.uint32).ravel()), squeeze(ev.astype(np.uint32)), squeeze(doc[event].astype(np.uint32)), squeeze(times[event].astype(np.uint32)), None)
+                        (rows[0]["bucket"], r["slab"], squeeze(context[need]), squeeze(context_count[need]), squeeze(facts[need].ravel()), squeeze((context_count[need] > crowd).astype(np.uint8)), *[None] * 3, squeeze(present.astype(np.uint32)), squeeze(sums.astype(np.float32)), squeeze(by_r.astype(np.uint32).ravel()), squeeze(ev.astype(np.uint32)), squeeze(doc[event].astype(np.uint32)), squeeze(times[event].astype(np.uint32)), None)
                     )
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
@@ -341,41 +342,39 @@ def crowded_facts(rows: Iterable) -> dict[int, np.ndarray]:
     return out
 
 
-def finish_parts(discount: np.ndarray, crowded: dict[int, np.ndarray]):
-    """Arrow function over part rows, and slabs' own rows with their documents: numbers to add per document."""
+def finish_slabs(discount: np.ndarray, crowded: dict[int, np.ndarray]):
+    """Arrow function over rows sorted by slab: scores of a slab's documents, from its parts and its own row."""
     logs = np.log10(discount)
-    names = ["slab", "doc", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
+    kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
 
-    def part(r: dict) -> list:
-        doc = expand(r["doc"], np.uint32).astype(np.int64)
-        score = expand(r["sums"], np.float64) + logs[1:] @ expand(r["by_r"], np.uint32).reshape(CUTOFF, -1)
+    def part(r: dict, score: np.ndarray) -> None:
+        doc = expand(r["doc"], np.uint32)
+        score[doc] += expand(r["sums"], np.float32) + logs[1:] @ expand(r["by_r"], np.uint32).reshape(CUTOFF, -1)
         contexts, counts = expand(r["contexts"], np.int64), expand(r["context_counts"], np.int64)
         facts = expand(r["facts"], np.float64).reshape(-1, CUTOFF + 2)
         for i in np.flatnonzero(expand(r["crowded"], np.uint8)):
             facts[i] = crowded[int(contexts[i])]
         weight = np.log10(backoff_weights(facts, counts, discount))
         ev, times = expand(r["event_context"], np.uint32), expand(r["event_times"], np.uint32)
-        score = score + np.bincount(expand(r["event_doc"], np.uint32), weights=weight[ev] * times, minlength=len(doc))
-        nothing = [None] * len(doc)
-        return [doc, nothing, nothing, nothing, nothing, nothing, score]
-
-    def own(r: dict) -> list:
-        base, alone = expand(r["sums"], np.float64).reshape(2, -1)
-        known, size = expand(r["by_r"], np.uint32), expand(r["sizes"], np.uint32)
-        return [np.arange(len(size)), r["doc_id"], r["held"], size.astype(np.int64), known.astype(np.int64), base, alone]
+        score[doc] += np.bincount(expand(r["event_doc"], np.uint32), weights=weight[ev] * times, minlength=len(doc))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for r in b.to_pylist():
-                columns = part(r) if r["bucket"] >= 0 else own(r)
-                columns = [np.full(len(columns[0]), r["slab"]), *columns]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+        for t, at in whole_groups(batches, "slab"):
+            for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+                rows = t.slice(lo, hi - lo).to_pylist()
+                own = next(r for r in rows if r["bucket"] < 0)
+                base, score = expand(own["sums"], np.float64).reshape(2, -1).copy()
+                for r in rows:
+                    if r["bucket"] >= 0:
+                        part(r, score)
+                columns = [own["doc_id"], own["held"], expand(own["sizes"], np.uint32), expand(own["by_r"], np.uint32), base, score]
+                yield pa.RecordBatch.from_arrays([pa.array(c).cast(k) for c, k in zip(columns, kinds, strict=True)], names)
 
     return run
 
 
-SCORES = "slab long, doc long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
 def katz_scores(
@@ -383,8 +382,8 @@ def katz_scores(
     held: Column,
     id_col: str = "doc_id",
     text_col: str = "text",
-    slab_chars: int = 6_000_000,
-    bucket_tokens: int = 2_500_000,
+    slab_chars: int = 4_000_000,
+    bucket_tokens: int = 2_200_000,
     ranges: int | None = None,
 ) -> DataFrame:
     """Scores of all documents under the model of those that are not ``held`` (a boolean column).
@@ -425,16 +424,11 @@ def katz_scores(
     crowded = crowded_facts(parts.where("slab IS NULL AND of_counts IS NULL").select("contexts", "facts").collect())
     mine = slabs.where("part = 0").select("slab", "doc_id", "held", "sizes")
     dealt = parts.where("slab IS NOT NULL")
-    own = dealt.where("bucket < 0").join(mine, "slab")
-    rest = dealt.where("bucket >= 0")
-    numbers = rest.mapInArrow(finish_parts(discount, crowded), SCORES).unionByName(
-        own.select(*dealt.columns, "doc_id", "held", "sizes").mapInArrow(finish_parts(discount, crowded), SCORES)
-    )
-    return (
-        numbers.groupBy("slab", "doc")
-        .agg(*[F.max(c).alias(c) for c in ("doc_id", "held_out", "n_tokens", "n_known", "base_score")], F.sum("score").alias("score"))
-        .select("doc_id", "held_out", "n_tokens", "n_known", F.lit(uni.tokens).cast("long").alias("train_tokens"), "base_score", "score")
-    )
+    own = dealt.where("bucket < 0").join(mine, "slab").select(*dealt.columns, "doc_id", "held", "sizes")
+    rest = dealt.where("bucket >= 0").drop("of_counts", "pairs", "words", "bigrams")
+    whole = rest.unionByName(own, allowMissingColumns=True).drop("of_counts", "pairs", "words", "bigrams")
+    numbers = whole.repartition("slab").sortWithinPartitions("slab").mapInArrow(finish_slabs(discount, crowded), SCORES)
+    return numbers.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(uni.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 @query("op3_lm_scoring")

@@ -56,7 +56,7 @@ def check(rows, texts_by_row):
     want = sorted(key(*x) for x in texts_by_row)
     got = sorted((-1 if r.doc_id is None else r.doc_id, r.held_out, r.n_tokens, round(r.base_score, 6), round(r.score, 6)) for r in rows)
     for w, g in zip(want, got, strict=True):
-        assert w[:3] == g[:3] and np.allclose(w[3:], g[3:], atol=1e-5), (w, g)
+        assert w[:3] == g[:3] and np.allclose(w[3:], g[3:], rtol=1e-7, atol=1e-5), (w, g)
     assert {r.train_tokens for r in rows} <= {plain.n}
     return plain
 
