@@ -5,15 +5,15 @@ vector gets one more component that lifts all norms to the largest one, so that
 are the largest inner products. Joins carry codes (one byte per component and a scale); the results are
 scored on the original vectors.
 
-Build: nodes meet in chunks of random-hyperplane buckets for a first graph of ``degree`` neighbours. Then
+Build: nodes meet in chunks, in the order of random-hyperplane buckets and once in random order, for a first graph of ``degree`` neighbours. Then
 rounds of Spark joins: each node's neighbours, forward and backward, meet at that node; pairs of which
 one is new since the last round are compared and sent to both ends if they beat the worst neighbour there.
 It ends when fewer than ``least_new`` of all edges are new. Backward neighbours are sampled, ``degree`` at
 most, as NN-descent does; the graph is an index, every vector is in it, and recall is measured.
 
-Search: a query starts at its own node and keeps a beam; in each round the unexpanded nodes among its best
-``beam`` are joined to their graph neighbours, and those not seen before are scored. It ends when no
-query has anything left to expand, or after ``steps`` rounds.
+Search: a query starts at its own node and at the ``entries`` longest vectors, and keeps a beam; in each
+round the unexpanded nodes among its best ``beam`` are joined to their graph neighbours, and those not seen
+before are scored. It ends when less than ``least_open`` of the queries have anything left to expand.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from revlens.llm.covertree import usable
 from revlens.llm.registry import query, table
 from revlens.llm.tables import cut, runs, whole_groups
+from revlens.llm.textcodes import mix
 
 NEAREST, QUERY_STEP = 20, 20
 
@@ -64,22 +65,20 @@ def edge_batch(key: np.ndarray, other: np.ndarray, sim: np.ndarray) -> pa.Record
 
 
 def first_neighbours(degree: int, chunk: int):
-    """Arrow function over rows sorted by bucket: best neighbours inside chunks of a bucket."""
+    """Arrow function over rows in the order of their buckets: best neighbours inside chunks of rows."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at = runs(b.column("bucket").to_numpy())
             nodes, y = b.column("node").to_numpy(), decoded(b.column("code"))
-            for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-                for a in range(lo, hi, chunk):
-                    z = min(a + chunk, hi)
-                    if z - a < 2:
-                        continue
-                    sim = y[a:z] @ y[a:z].T
-                    np.fill_diagonal(sim, -np.inf)
-                    most = min(degree, z - a - 1)
-                    top = np.argpartition(-sim, most - 1, axis=1)[:, :most]
-                    yield edge_batch(np.repeat(nodes[a:z], most), nodes[a:z][top].ravel(), np.take_along_axis(sim, top, 1).ravel())
+            edges = [*range(0, max(1, len(nodes) - chunk // 2), chunk), len(nodes)]
+            for a, z in zip(edges, edges[1:], strict=False):
+                if z - a < 2:
+                    continue
+                sim = y[a:z] @ y[a:z].T
+                np.fill_diagonal(sim, -np.inf)
+                most = min(degree, z - a - 1)
+                top = np.argpartition(-sim, most - 1, axis=1)[:, :most]
+                yield edge_batch(np.repeat(nodes[a:z], most), nodes[a:z][top].ravel(), np.take_along_axis(sim, top, 1).ravel())
 
     return run
 
@@ -158,14 +157,20 @@ def neighbour_graph(
     def buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             side = (decoded(b.column("code")) @ planes > 0).astype(np.int64)
-            for t in range(tables if bits else 1):
-                bucket = side[:, t * bits : (t + 1) * bits] @ weights * tables + t if bits else np.zeros(b.num_rows, np.int64)
+            mixed = mix(b.column("node").to_numpy().view(np.uint64)) >> np.uint64(40)
+            for t in range(tables + 1):  # the last order is random: it joins the chunks of the others
+                bucket = side[:, t * bits : (t + 1) * bits] @ weights[:bits] if t < tables else mixed.astype(np.int64)
+                bucket = bucket * (tables + 1) + t
                 yield pa.RecordBatch.from_arrays([pa.array(bucket), *b.columns], ["bucket", *b.schema.names])
 
     met = codes.mapInArrow(buckets, "bucket long, node long, code binary")
-    spread = met.repartition("bucket", F.pmod("node", F.lit(8))).sortWithinPartitions("bucket", F.xxhash64("node"))
-    graph = spread.mapInArrow(first_neighbours(degree, chunk), "node long, nbr long, sim float").withColumn("fresh", F.lit(True))
-    graph = cut(best_edges(graph, degree), "graph")
+    spread = met.repartitionByRange("bucket", F.xxhash64("node")).sortWithinPartitions("bucket", F.xxhash64("node"))
+    graph = spread.mapInArrow(first_neighbours(degree, chunk), "node long, nbr long, sim float")
+    # a node that met nobody starts at the first node
+    first = codes.agg(F.min("node").alias("first")).first()["first"]
+    lone = codes.select("node", F.lit(first).alias("nbr"), F.lit(-1.0).cast("float").alias("sim")).where("node <> nbr")
+    graph = graph.unionByName(lone) if first is not None else graph
+    graph = cut(best_edges(graph.withColumn("fresh", F.lit(True)), degree), "graph")
     for _ in range(rounds):
         worst = graph.groupBy("node").agg(F.when(F.count(F.lit(1)) >= degree, F.min("sim")).otherwise(F.lit(-2.0)).cast("float").alias("worst"))
         facts = cut(codes.join(worst, "node", "left").withColumn("worst", F.coalesce("worst", F.lit(-2.0).cast("float"))), "facts")
@@ -186,14 +191,18 @@ def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = np.flatnonzero(t.column("own").to_numpy(zero_copy_only=False))
         base = np.repeat(own, np.diff(at)[np.isin(q[at[:-1]], q[own])])
         rest = np.isin(q, q[own])
-        sim = np.einsum("ij,ij->i", y[rest], y[base])
+        asker = y[base]
+        asker[:, -1] = 0  # the lift of the norm is no part of an inner product
+        sim = np.einsum("ij,ij->i", y[rest], asker)
         other = ~t.column("own").to_numpy(zero_copy_only=False)[rest]
         yield pa.RecordBatch.from_arrays(
             [pa.array(q[rest][other]), pa.array(node[rest][other]), pa.array(sim[other], pa.float32())], ["q", "node", "sim"]
         )
 
 
-def greedy_search(queries: DataFrame, graph: DataFrame, codes: DataFrame, degree: int, beam: int, steps: int, small: bool) -> DataFrame:
+def greedy_search(
+    queries: DataFrame, entries: list[int], graph: DataFrame, codes: DataFrame, degree: int, beam: int, least_open: float, small: bool
+) -> DataFrame:
     """(q, node, sim) of everything that the queries (column q: a node) have seen, themselves included."""
     links = cut(both_ways(graph, degree).select("center", "node"), "links")
     askers = queries.join(codes.withColumnRenamed("node", "q"), "q").select("q", F.col("q").alias("node"), "code", F.lit(True).alias("own"))
@@ -201,12 +210,16 @@ def greedy_search(queries: DataFrame, graph: DataFrame, codes: DataFrame, degree
     seen = queries.select("q", F.col("q").alias("node"), F.lit(2.0).cast("float").alias("sim"), F.lit(False).alias("expanded"))
     order = Window.partitionBy("q").orderBy(F.desc("sim"), "node")
     seen = cut(seen, "seen")
-    for _ in range(steps):
+    starts = queries.select("q", F.explode(F.array([F.lit(n).cast("long") for n in entries])).alias("node")) if entries else None
+    asking = askers.count()
+    while True:
         ranked = seen.withColumn("n", F.row_number().over(order))
         front = cut(ranked.where((F.col("n") <= beam) & ~F.col("expanded")).select("q", F.col("node").alias("center")), "front")
-        if front.isEmpty():
+        if front.select("q").distinct().count() <= least_open * asking:
             break
-        reached = front.join(links, "center").select("q", "node").distinct()
+        reached = front.join(links, "center").select("q", "node")
+        reached = (reached if starts is None else reached.unionByName(starts)).distinct()
+        starts = None
         new = reached.join(seen, ["q", "node"], "left_anti")
         with_codes = new.join(F.broadcast(codes) if small else codes, "node").select("q", "node", "code", F.lit(False).alias("own"))
         sims = with_codes.unionByName(askers).repartition("q").sortWithinPartitions("q").mapInArrow(scored, "q long, node long, sim float")
@@ -227,7 +240,8 @@ def nearest(
     rounds: int = 8,
     least_new: float = 0.02,
     beam: int = 64,
-    steps: int = 5,
+    entries: int = 16,
+    least_open: float = 0.01,
     broadcast_mb: int = 64,
 ) -> DataFrame:
     """The ``k`` nearest rows found for each query row: query_id, rank (from 1), vec_id, score.
@@ -262,7 +276,8 @@ def nearest(
     known = rows.join(grouped.select("v", "node"), "v").select("vec_id", "is_query", "node")
     known = cut(known, "known")
     asking = known.where("is_query").select(F.col("node").alias("q"), F.col("vec_id").alias("query_id"))
-    found = greedy_search(asking.select("q").distinct(), graph, codes, degree, beam, steps, small)
+    longest_nodes = [r["node"] for r in grouped.orderBy(F.desc("square"), "node").limit(entries).collect()]
+    found = greedy_search(asking.select("q").distinct(), longest_nodes, graph, codes, degree, beam, least_open, small)
     order = Window.partitionBy("q").orderBy(F.desc("sim"), "node")
     best = found.withColumn("n", F.row_number().over(order)).where(F.col("n") <= 3 * k + 1).select("q", "node")
     exact = grouped.select("node", "v")
