@@ -131,8 +131,23 @@ def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return ((a == b).mean(axis=-1) - 1 / 256) / (255 / 256)
 
 
+def forest(a: np.ndarray, b: np.ndarray, n: int) -> list[int]:
+    """Numbers of the links (a, b) of nodes 0 to n - 1 that join two parts not joined before."""
+    root = list(range(n))
+    out = []
+    for k, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        while root[y] != y:
+            root[y] = y = root[root[y]]
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            out.append(k)
+    return out
+
+
 def bucket_links(near: float, absorb: float):
-    """Arrow function over rows sorted by path: coarse links (a, b) inside small buckets.
+    """Arrow function over rows sorted by path: a spanning forest of the coarse links inside small buckets.
 
     In all buckets at once, the first set left is the pivot, all others are compared with it, and those
     that it absorbs leave; until no bucket has two sets left.
@@ -143,7 +158,7 @@ def bucket_links(near: float, absorb: float):
             sigs = np.array(rows.column("sig").to_pylist(), object)
             sketches = matrix(rows.column("sketch").combine_chunks())
             path = rows.column("path").to_numpy()
-            left = np.arange(len(path))
+            left, root = np.arange(len(path)), np.arange(len(path))
             a, b = [], []
             while len(left) > 1:
                 p = path[left]
@@ -153,9 +168,21 @@ def bucket_links(near: float, absorb: float):
                 for lo in range(0, len(left), 1 << 16):
                     some = slice(lo, lo + (1 << 16))
                     sim[some] = alike(sketches[left[some]], sketches[pivot[some]])
-                link = (sim >= near) & ~start
-                a.append(pivot[link])
-                b.append(left[link])
+                # one link for each two parts that the pivots join
+                link = np.flatnonzero((sim >= near) & (root[left] != root[pivot]))
+                one = np.unique(root[pivot[link]] * len(path) + root[left[link]], return_index=True)[1]
+                x, y = root[pivot[link[one]]], root[left[link[one]]]
+                kept = forest(x, y, len(path))
+                a.append(pivot[link[one[kept]]])
+                b.append(left[link[one[kept]]])
+                for i, j in zip(x[kept].tolist(), y[kept].tolist(), strict=True):
+                    while root[i] != i:
+                        i = root[i]
+                    while root[j] != j:
+                        j = root[j]
+                    root[max(i, j)] = min(i, j)
+                while (root[root] != root).any():
+                    root = root[root]
                 left = left[(sim < absorb) & ~start]
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(sigs[np.concatenate(x)], pa.binary()) for x in (a, b)], ["a", "b"])
@@ -199,8 +226,7 @@ def coarse_links(sets: DataFrame, limit: int, near: float, absorb: float, thresh
     """Links (a, b) of sets (sig, sketch, paths) that met in some bucket and look alike."""
     steps = sets.select("sig", F.explode("paths").alias("path"))
     shared = cut(steps.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
-    members = cut(steps.join(shared, "path"), "members")
-    rows = members.join(sets.select("sig", "sketch"), "sig")
+    rows = steps.join(shared, "path").join(sets.select("sig", "sketch"), "sig")
     links = None
     while True:
         rows = cut(rows, "rows")
@@ -297,19 +323,9 @@ def check_blocks(threshold: float):
                 out += [(sigs[i], int(k), None) for i, k in zip(one, linked @ weight2, strict=True) if k]
                 if two is not one:
                     out += [(sigs[i], int(k), None) for i, k in zip(two, weight1 @ linked, strict=True) if k]
-                root = {i: i for i in range(lo, hi)}
-
-                def find(i: int, root=root) -> int:
-                    while root[i] != i:
-                        root[i] = root[root[i]]
-                        i = root[i]
-                    return i
-
-                for a, b in zip(*(x.tolist() for x in np.nonzero(linked)), strict=True):
-                    x, y = find(one[a]), find(two[b])
-                    if x != y:
-                        root[max(x, y)] = min(x, y)
-                        out.append((sigs[one[a]], 0, sigs[two[b]]))
+                a, b = np.nonzero(linked)
+                a, b = np.array(one)[a] - lo, np.array(two)[b] - lo
+                out += [(sigs[lo + a[k]], 0, sigs[lo + b[k]]) for k in forest(a, b, hi - lo)]
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.binary(), pa.int64(), pa.binary()), strict=True)], names
@@ -325,10 +341,11 @@ def jaccard_join(
     words: int = WORDS,
     threshold: float = THRESHOLD,
     recall: float = RECALL,
-    limit: int = 256,
+    limit: int = 1024,
     near: float = 0.4,
-    absorb: float = 0.8,
+    absorb: float = 0.7,
     block: int = 128,
+    filter_ids: int = 5_000_000,
 ) -> DataFrame:
     """One row per document: doc_id, class_id, n_links.
 
@@ -361,7 +378,10 @@ def jaccard_join(
     counted = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks"))
     members = cut(clusters.join(cut(counted, "counted"), "cluster").join(sets.select("sig", "first_id", "copies"), "sig"), "members")
     wanted = members.withColumn("id", F.coalesce("first_id", F.lit(-(1 << 63)))).drop("first_id")
-    texts = rows.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), "text").join(wanted, "id")
+    texts = rows.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), "text")
+    if wanted.count() <= filter_ids:  # 8 bytes each: drop other texts before the shuffle
+        texts = texts.join(F.broadcast(wanted.select("id").distinct()), "id", "left_semi")
+    texts = texts.join(wanted, "id")
     whole = texts.select("text", "cluster", "sig", "copies", "blocks").mapInArrow(
         set_binaries(words), "cluster binary, sig binary, copies long, blocks long, set binary"
     )
