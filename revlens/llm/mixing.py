@@ -3,7 +3,8 @@
 Documents fall into cells (source, language, topic) that carry their token sums. Raking scales the cells
 in turn so that the token shares by source, by language and by topic meet their targets; after the last
 sweep each cell has a factor, and ``factor / largest factor`` is the probability with which each of its
-documents is kept. The expected token shares of the sample are therefore the raked ones.
+documents is kept. The expected token shares of the sample are therefore the raked ones. Only cells that
+hold tokens count for the largest factor; the others weigh nothing, whatever their probability.
 
 Targets default to tempered shares, ``share ** alpha`` normalised, which lifts small sources, languages
 and topics without emptying large ones. A topic is any column; ``form_topic`` derives one from a text's
@@ -74,7 +75,9 @@ def rake(
     """``cells`` (source, lang, topic, tokens) with ``factor``, after ``sweeps`` rounds of raking.
 
     ``source_targets`` has columns source and share, ``targets`` shares by language and topic; what isn't
-    given is tempered. A value without a target, and one whose cells hold no tokens, keeps its factor.
+    given is tempered. A source that ``source_targets`` doesn't list (or lists with a null or 0) keeps the
+    share it has, and the others divide the rest in proportion to their targets. A source without tokens has
+    the mean factor; a language or topic without a target or without tokens keeps its factor.
 
     Cells are nested by source, so a source's factor is a sum inside its row; each round then takes two
     aggregations that return one number per language and one per topic to the driver.
@@ -82,10 +85,18 @@ def rake(
     nested = cells.groupBy("source").agg(F.collect_list(F.struct("lang", "topic", "tokens")).alias("cells"), F.sum("tokens").alias("sum"))
     if source_targets is None:
         power = F.pow("sum", F.lit(alpha))
-        total = nested.where("sum > 0").agg(F.sum(power).alias("total")).first()["total"] or 1.0
-        nested = nested.withColumn("share", power / F.lit(total))
+        held = nested.where("sum > 0").agg(F.sum(power).alias("total"), F.sum("sum").alias("tokens")).first()
+        nested = nested.withColumn("share", power / F.lit(held["total"] or 1.0))
     else:
         nested = nested.join(source_targets, "source", "left")
+        listed = F.col("share") > 0
+        held = nested.where("sum > 0").agg(
+            F.sum("sum").alias("tokens"), F.sum(F.when(listed, F.col("sum"))).alias("known"), F.sum(F.when(listed, F.col("share"))).alias("total")
+        ).first()
+        if held["known"]:
+            rest = F.col("share") / F.lit(held["total"] * held["tokens"] / held["known"])
+            nested = nested.withColumn("share", F.when(listed, rest).otherwise(F.col("sum") / F.lit(held["tokens"])))
+    mean = 1.0 / (held["tokens"] or 1.0)  # of the sources' factors, by tokens
     nested = nested.checkpoint()
     flat = nested.select("source", "sum", F.explode("cells").alias("c")).select("source", "sum", "c.*")
     tokens = {d: {r[0]: r[1] for r in flat.groupBy(d).agg(F.sum("tokens")).collect()} for d in ("lang", "topic")}
@@ -100,7 +111,7 @@ def rake(
         have = F.aggregate(
             "cells", F.lit(0.0), lambda s, c: s + c["tokens"] * of("lang", c["lang"]) * of("topic", c["topic"])
         )
-        own = F.when((have > 0) & (F.col("share") > 0), F.col("share") / have).otherwise(F.lit(1.0))
+        own = F.when((have > 0) & (F.col("share") > 0), F.col("share") / have).otherwise(F.lit(mean))
         rows = nested.select("source", "share", own.alias("own"), F.explode("cells").alias("c"))
         return rows.select("source", "own", "c.*")
 
@@ -160,8 +171,9 @@ def mix_sources(
     seen = docs.select(*[c.alias(d) for d, c in zip(DIMENSIONS, keys.values(), strict=True)], facts["mix_tokens"].alias("n"))
     cells = seen.groupBy(*DIMENSIONS).agg(F.sum("n").cast("double").alias("tokens")).checkpoint()
     raked = rake(cells, source_targets, targets or {}, alpha, sweeps)
-    top = raked.agg(F.max("factor").alias("top"), F.count(F.lit(1)).alias("cells")).first()
-    odds = raked.select(*[F.col(d).alias(f"_{d}") for d in DIMENSIONS], (F.col("factor") / F.lit(top["top"] or 1.0)).alias("mix_probability"))
+    top = raked.agg(F.max(F.when(F.col("tokens") > 0, F.col("factor"))).alias("top"), F.count(F.lit(1)).alias("cells")).first()
+    odd = F.least(F.lit(1.0), F.col("factor") / F.lit(top["top"])) if top["top"] else F.lit(1.0)
+    odds = raked.select(*[F.col(d).alias(f"_{d}") for d in DIMENSIONS], odd.alias("mix_probability"))
     rows = docs.select(*kept, *[c.alias(n) for n, c in (facts | keys).items()])
     if top["cells"] <= broadcast_cells:
         met = rows.join(F.broadcast(odds), list(keys))

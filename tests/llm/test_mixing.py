@@ -50,6 +50,29 @@ def test_targets_for_sources(spark, make_docs):
     assert got[9] == 1 and all(abs(got[i] - 1 / 9) < 1e-9 for i in range(9))
 
 
+def test_a_source_without_tokens_thins_nothing(spark, make_docs):
+    docs = make_docs([(i, "a b c d e" * (1 + i % 3)) for i in range(200)])
+    docs = docs.withColumn("source", F.concat(F.lit("s"), F.col("doc_id") % 4))
+    blank = make_docs([(1000, None), (1001, " "), (1002, "")]).withColumn("source", F.lit("blank"))
+    alone = {r.doc_id: r.mix_probability for r in mix_sources(docs).collect()}
+    got = {r.doc_id: r.mix_probability for r in mix_sources(docs.unionByName(blank)).collect()}
+    assert sum(alone.values()) > 100 and all(abs(got[i] - p) < 1e-9 for i, p in alone.items())
+    assert all(0.1 < got[i] <= 1 for i in (1000, 1001, 1002))
+    assert {r.mix_probability for r in mix_sources(blank).collect()} == {1.0}
+
+
+@pytest.mark.parametrize("listed", [[("s0", 0.5), ("s1", 0.3)], [("s0", 50.0), ("s1", 30.0), ("s2", 0.0), ("s3", None)]])
+def test_a_source_without_a_target_keeps_its_share(spark, make_docs, listed):
+    from revlens.llm.mixing import key
+
+    docs = make_docs([(i, "a b c d") for i in range(400)]).withColumn("source", F.concat(F.lit("s"), F.col("doc_id") % 4))
+    targets = spark.createDataFrame(listed, "v string, share double").select(key(F.col("v")).alias("source"), "share")
+    rows = mix_sources(docs, source_targets=targets).collect()
+    got, want = shares(rows, "source"), {"s0": 0.3125, "s1": 0.1875, "s2": 0.25, "s3": 0.25}
+    assert all(abs(got[k] - v) < 1e-6 for k, v in want.items())
+    assert sum(r.mix_probability for r in rows) > 300
+
+
 @pytest.mark.parametrize("text,words,topic", [(None, 0, "empty"), ("", 0, "empty"), (" \n", 0, "short"), (" a  b\tc\n", 3, "short"), ("a | b", 3, "table"), ("x### y", 2, "marked"), ("w " * 5000, 5000, "long")])
 def test_facts(make_docs, text, words, topic):
     assert make_docs([(1, text)]).select(count_words(F.col("text")), form_topic(F.col("text"))).first() == (words, topic)
