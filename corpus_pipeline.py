@@ -17,6 +17,9 @@ from revlens.llm.packing import pack
 from revlens.llm.registry import table
 from revlens.llm.tables import cut
 
+#: The share of the clean documents' tokens that mixing keeps.
+MIX_RATE = 0.8
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the centroids accept; ``lang`` becomes the predicted one.
@@ -41,8 +44,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample whose expected token shares by source, language and topic are the raked targets."""
-    return mix_sources(docs).where("mix_kept").select(*docs.columns)
+    """A sample of ``MIX_RATE`` of the tokens, its cells in the raked proportions or, where that is all of one, whole."""
+    return mix_sources(docs, rate=MIX_RATE).where("mix_kept").select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

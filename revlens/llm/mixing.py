@@ -6,6 +6,10 @@ sweep each cell has a factor, and ``factor / largest factor`` is the probability
 documents is kept. The expected token shares of the sample are therefore the raked ones. Only cells that
 hold tokens count for the largest factor; the others weigh nothing, whatever their probability.
 
+By that rule the rarest cell decides how much of all others goes. With a ``rate`` the sample holds that
+share of the tokens instead: the probability is ``min(1, c * factor)``, cells that reach 1 are kept whole
+and ``c`` is raised until the others, still in the raked proportions, fill what is left.
+
 Targets default to tempered shares, ``share ** alpha`` normalised, which lifts small sources, languages
 and topics without emptying large ones. A topic is any column; ``form_topic`` derives one from a text's
 form, for tables that have none.
@@ -128,6 +132,29 @@ def rake(
     return out
 
 
+def scale_to(raked: DataFrame, rate: float) -> float:
+    """The ``c`` at which ``min(1, c * factor)`` keeps ``rate`` of the tokens; one aggregation per step.
+
+    Each step holds the cells that the last one filled as whole and divides the rest among the others, so
+    that ``c`` only grows, and ends when no more cells fill.
+    """
+    if rate == 1:
+        return float("inf")
+    held = raked.where("tokens > 0 AND factor > 0")
+    c, filled = 0.0, -1
+    while True:
+        full = F.lit(c) * F.col("factor") >= 1
+        now = held.agg(
+            F.count(F.when(full, 1)).alias("filled"),
+            F.coalesce(F.sum(F.when(full, F.col("tokens"))), F.lit(0.0)).alias("whole"),
+            F.sum(F.when(~full, F.col("tokens") * F.col("factor"))).alias("load"),
+            F.sum("tokens").alias("tokens"),
+        ).first()
+        if now["filled"] == filled or not now["load"]:
+            return c
+        c, filled = max(c, (rate * now["tokens"] - now["whole"]) / now["load"]), now["filled"]
+
+
 def chance(id_col: str, seed: str) -> Column:
     """A number in [0, 1) from the id: 52 bits of its md5."""
     bits = F.substring(F.md5(F.concat(F.lit(seed + ":"), key(F.col(id_col)))), 1, 13)
@@ -148,6 +175,7 @@ def mix_sources(
     seed: str = SEED,
     broadcast_cells: int = 100_000,
     salt: int = 64,
+    rate: float | None = None,
 ) -> DataFrame:
     """``docs`` with mix_topic, mix_tokens, mix_probability and mix_kept.
 
@@ -155,11 +183,17 @@ def mix_sources(
     Targets go by value keys, see ``key``: ``source_targets`` is a table (source, share), ``targets`` may
     hold shares for lang and topic; what isn't given is tempered.
 
+    ``rate`` (above 0, 1 at most) is the share of the tokens to keep, see the module; without one the cell
+    with the largest factor is just kept whole. The nearer it is to 1, the more cells are kept whole and the
+    nearer the shares stay to those of ``docs``.
+
     A null source, language or topic is a value of its own. Null and blank texts weigh nothing and are
     kept with their cell's probability. The draw depends on the id (null ids share one) and ``seed``
     alone, so repeated ids stand or fall together. Columns of ``docs`` that bear the names of the added
     ones are replaced. An empty table gives no rows.
     """
+    if rate is not None and not 0 < rate <= 1:
+        raise ValueError(f"rate must be above 0 and at most 1: {rate}")
     checkpoint_dir(docs.sparkSession)
     added = ["mix_topic", "mix_tokens", "mix_probability", "mix_kept"]
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in added]
@@ -172,7 +206,8 @@ def mix_sources(
     cells = seen.groupBy(*DIMENSIONS).agg(F.sum("n").cast("double").alias("tokens")).checkpoint()
     raked = rake(cells, source_targets, targets or {}, alpha, sweeps)
     top = raked.agg(F.max(F.when(F.col("tokens") > 0, F.col("factor"))).alias("top"), F.count(F.lit(1)).alias("cells")).first()
-    odd = F.least(F.lit(1.0), F.col("factor") / F.lit(top["top"])) if top["top"] else F.lit(1.0)
+    scaled = F.col("factor") / F.lit(top["top"]) if rate is None else F.col("factor") * F.lit(scale_to(raked, rate))
+    odd = F.least(F.lit(1.0), scaled) if top["top"] else F.lit(1.0)
     odds = raked.select(*[F.col(d).alias(f"_{d}") for d in DIMENSIONS], odd.alias("mix_probability"))
     rows = docs.select(*kept, *[c.alias(n) for n, c in (facts | keys).items()])
     if top["cells"] <= broadcast_cells:

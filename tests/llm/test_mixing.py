@@ -73,6 +73,20 @@ def test_a_source_without_a_target_keeps_its_share(spark, make_docs, listed):
     assert sum(r.mix_probability for r in rows) > 300
 
 
+def test_a_rate_is_met_whatever_the_rarest_cell(spark, make_docs):
+    docs = make_docs([(i, "a b c d") for i in range(400)])
+    docs = docs.withColumn("source", F.when(F.col("doc_id") < 300, "s").when(F.col("doc_id") < 399, "t").otherwise("tiny"))
+    plain = {r.source: r.mix_probability for r in mix_sources(docs).collect()}
+    rows = mix_sources(docs, rate=0.8).collect()
+    got = {r.source: r.mix_probability for r in rows}
+    assert abs(sum(r.mix_probability * r.mix_tokens for r in rows) - 0.8 * 1600) < 1e-6
+    assert got["tiny"] == 1 and abs(got["s"] / got["t"] - plain["s"] / plain["t"]) < 1e-9
+    assert sum(plain[r.source] for r in rows) < 0.5 * len(rows)
+    assert {r.mix_probability for r in mix_sources(docs, rate=1.0).collect()} == {1.0}
+    with pytest.raises(ValueError):
+        mix_sources(docs, rate=0.0)
+
+
 @pytest.mark.parametrize("text,words,topic", [(None, 0, "empty"), ("", 0, "empty"), (" \n", 0, "short"), (" a  b\tc\n", 3, "short"), ("a | b", 3, "table"), ("x### y", 2, "marked"), ("w " * 5000, 5000, "long")])
 def test_facts(make_docs, text, words, topic):
     assert make_docs([(1, text)]).select(count_words(F.col("text")), form_topic(F.col("text"))).first() == (words, topic)

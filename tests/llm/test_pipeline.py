@@ -1,6 +1,8 @@
 import shutil
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from revlens.llm.nearjoin import jaccard_join
 from tests.conftest import SF0001
@@ -55,6 +57,13 @@ def test_one_of_each_class_stays(spark, nasty):
     assert sorted(r.doc_id for r in stay if r.doc_id is not None) == sorted(classes)
 
 
+def test_mixing_keeps_its_rate_beside_a_tiny_source(spark, make_docs):
+    docs = make_docs([(i, "a b c d") for i in range(2000)]).select("doc_id", "text", "lang", "source", "n_chars")
+    docs = docs.withColumn("source", F.when(F.col("doc_id") < 1999, "s").otherwise("tiny"))
+    mixed = corpus_pipeline.mix_to_targets(spark, docs, "").count()
+    assert abs(mixed - corpus_pipeline.MIX_RATE * 2000) < 100
+
+
 def test_rest_works_without_this_package(tmp_path):
     """A copy without llm, its tests and the pipeline still registers the other queries."""
     import os
