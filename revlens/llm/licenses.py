@@ -1,7 +1,7 @@
 """License scans: normalised text against licence templates by the Dice coefficient of word bigrams.
 
-A document is scanned in units: each line, each paragraph of several lines (paragraphs are parted by
-blank lines) and, where there are several paragraphs, the whole text. Units and templates are
+A document is scanned in units: each line, each sentence of a line that has several, each paragraph of
+several lines (paragraphs are parted by blank lines) and, where there are several paragraphs, the whole text. Units and templates are
 normalised alike (ASCII lower case, everything but a-z and 0-9 parts words) and compared as bags of
 word bigrams: ``dice = 2 * sum of min counts / (bigrams of unit + bigrams of template)``.
 
@@ -9,7 +9,7 @@ A dice of at least ``t`` needs ``t / (2 - t) <= unit size / template size <= (2
 word counts less one, so the bounds drop units that fit no template before any bigram is built, and
 templates that don't fit a unit inside the join.
 
-Only DataFrame functions. The templates are a fixed table (a few hundred rows of bigrams), hence the
+Only DataFrame functions. The templates are a fixed table (some ten thousand rows of bigrams), hence the
 broadcast; bigrams that occur in no template leave the plan at that join, and only the rest is
 shuffled, keyed by unit, so that neither a frequent line nor a frequent bigram gathers anywhere.
 """
@@ -21,6 +21,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from revlens.llm.licensetexts import TEXTS
 from revlens.llm.registry import query, table
 
 THRESHOLD = 0.8
@@ -80,19 +81,80 @@ PARAGRAPHS = {
         "was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
     ],
 }
+WARRANTY = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT {} OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+    "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+CLAUSES = [
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+    "disclaimer in the documentation and/or other materials provided with the distribution.",
+]
+GNU = (
+    "This {0} is free software{1} you can redistribute it and/or modify it under the terms of the GNU {2} General Public "
+    "License as published by the Free Software Foundation, either version {3} of the License, or (at your option) any later version."
+)
+BODIES = [
+    ("MIT", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("MIT", 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE '
+     "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR "
+     "COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+     "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("ISC", 'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL '
+     "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, "
+     "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN "
+     "ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+    *[("BSD-2-Clause", c) for c in CLAUSES],
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+     "products derived from this software without specific prior written permission."),
+    ("BSD-2-Clause", WARRANTY.format("HOLDER")),
+    ("BSD-2-Clause", WARRANTY.format("OWNER")),
+    ("Apache-2.0", 'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an '
+     '"AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific '
+     "language governing permissions and limitations under the License."),
+    ("AGPL-3.0", GNU.format("program", ":", "Affero", "3")),
+    ("LGPL-2.1", GNU.format("library", ";", "Lesser", "2.1")),
+    ("LGPL-3.0", GNU.format("library", ":", "Lesser", "3")),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 "
+     "which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at "
+     "https://www.boost.org/LICENSE_1_0.txt)"),
+    ("BSL-1.0", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+     'accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and '
+     "transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software "
+     "is furnished to do so, all subject to the following:"),
+    ("BSL-1.0", "The copyright notices in the Software and this entire statement, including the above license grant, this restriction "
+     "and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works "
+     "of the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated "
+     "by a source language processor."),
+]
+RIGHTS = ["All rights reserved.", "Copyright. All rights reserved.", "Copyright (c). All rights reserved.", "All rights reserved worldwide."]
+SPDX = "SPDX-License-Identifier: {}"
 # ---------------------------------------------------------------------------------------------
 
 
 def templates() -> list[tuple[str, str]]:
-    """(licence, text): every notice wording with every name, and the notice paragraphs."""
+    """(licence, text): every notice wording with every name, the notice paragraphs, SPDX and reserved-rights
+    lines, and the paragraphs of licence texts. What several licences share bears the first one's name."""
     out = []
     for licence, names in NAMES.items():
         for name in names:
             article = "" if name.startswith("CC") else "the " if not name.startswith("Creative") else "a "
             out += [(licence, notice.format(article + name)) for notice in NOTICES]
-    return out + [(licence, text) for licence, texts in PARAGRAPHS.items() for text in texts]
+    out += [(licence, text) for licence, texts in PARAGRAPHS.items() for text in texts]
+    for licence in NAMES:
+        kinds = ["", "-only", "-or-later"] if "GPL" in licence else [""]
+        out += [(licence, SPDX.format(licence + kind)) for kind in kinds]
+    out += [("LicenseRef-All-Rights-Reserved", text) for text in RIGHTS] + BODIES
+    return out + [(licence, text) for licence, texts in TEXTS.items() for text in texts]
 
 
+SENTENCE_END = "(?<=[.!?;])[ \\t]+(?=[^ \\t\\r])"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -132,7 +194,7 @@ def scan_licenses(
 ) -> DataFrame:
     """The best template of every unit that has one with a dice of at least ``threshold``.
 
-    Columns: doc_id, unit (line, paragraph or text), unit_no (from 0 among its kind in the document),
+    Columns: doc_id, unit (line, sentence, paragraph or text), unit_no (from 0 among its kind in the document),
     license, template (its number in ``known``), dice, unit_text. Ties go to the smaller template number.
 
     Null and empty texts, and units of fewer than two words, have no match. Repeated rows are scanned
@@ -142,7 +204,7 @@ def scan_licenses(
     known = templates() if known is None else known
     bigrams = template_bigrams(known)
     spark = docs.sparkSession
-    index = spark.sql(f"SELECT * FROM VALUES {literal_rows(bigrams)} AS t(template, license, template_size, bigram, template_count)")
+    index = spark.createDataFrame(bigrams, "template int, license string, template_size int, bigram string, template_count int")
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
     sizes = [r[2] for r in bigrams]
 
@@ -154,6 +216,8 @@ def scan_licenses(
             parts, lambda p, i: F.struct(F.lit(kind).alias("unit"), i.cast("int").alias("unit_no"), p.alias("unit_text"))
         )
 
+    lines = F.split(text, "\n")
+    sentences = F.flatten(F.transform(lines, lambda x: F.when(x.rlike(SENTENCE_END), F.split(x, SENTENCE_END)).otherwise(F.array().cast("array<string>"))))
     several = F.filter(units("paragraph", paragraphs), lambda u: F.instr(u["unit_text"], "\n") > 0)
     whole = F.when(F.size(paragraphs) > 1, units("text", F.array(text))).otherwise(
         F.array().cast("array<struct<unit:string,unit_no:int,unit_text:string>>")
@@ -163,7 +227,7 @@ def scan_licenses(
     )
     parts = (
         rows.where(text.isNotNull())
-        .select("doc_id", "row_no", F.explode(F.concat(units("line", F.split(text, "\n")), several, whole)).alias("u"))
+        .select("doc_id", "row_no", F.explode(F.concat(units("line", lines), units("sentence", sentences), several, whole)).alias("u"))
         .select("doc_id", "row_no", "u.*", normalised_words(F.col("u.unit_text")).alias("words"))
         .withColumn("unit_size", F.size("words") - 1)
         .where((F.col("unit_size") >= low * min(sizes)) & (F.col("unit_size") <= high * max(sizes)))

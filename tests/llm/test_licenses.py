@@ -40,6 +40,22 @@ def test_against_brute_force(make_docs):
     assert ("ISC" in {v[0] for v in got.values()}) and got[(3, "line", 0)][0] == "GPL-2.0"
 
 
+def test_reserved_rights_bodies_and_notices_inside_lines(make_docs):
+    from revlens.llm.licenses import CLAUSES, WARRANTY
+    from revlens.llm.licensetexts import TEXTS as LONG
+
+    bsd = f"Copyright (c) 1999 A. Body\n\n1. {CLAUSES[0]}\n\n2. {CLAUSES[1]}\n\n{WARRANTY.format('HOLDER')}"
+    rows = [(1, "All rights reserved."), (2, "# SPDX-License-Identifier: GPL-3.0-or-later"), (3, bsd), (4, "A tool for sums and other long things we do. Released under the MIT License. Have fun with it, all of you.")]
+    rows += [(10 + k, texts[len(texts) // 2].replace(" ", "\n", 3)) for k, texts in enumerate(LONG.values())]
+    got = {}
+    for r in scan_licenses(make_docs(rows)).collect():
+        got.setdefault(r.doc_id, []).append((r.unit, r.license))
+    assert got[1] == [("line", "LicenseRef-All-Rights-Reserved")] and got[2] == [("line", "GPL-3.0")]
+    assert len([x for x in got[3] if x == ("line", "BSD-2-Clause")]) == 3
+    assert got[4] == [("sentence", "MIT")]
+    assert all(("paragraph", licence) in got[10 + k] for k, licence in enumerate(LONG))
+
+
 def test_nasty_and_empty(nasty, empty):
     assert scan_licenses(nasty).count() == 0
     assert scan_licenses(empty).count() == 0
