@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from revlens.llm import covertree, html, katz, language, licenses, mixing, nearjoin, nndescent, packing, sharding  # noqa: F401
+from revlens.llm import (  # noqa: F401
+    covertree,
+    html,
+    katz,
+    language,
+    licenses,
+    lines,
+    mixing,
+    nearjoin,
+    nndescent,
+    packing,
+    periodic,
+    reversed_search,
+    sharding,
+)
 from revlens.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
