@@ -10,7 +10,7 @@ from revlens.operators import profile as P
 from revlens.operators import split as S
 from revlens.plans import sqlgen as G
 from revlens.plans.registry import query
-from revlens.sources.tables import labelled_reviews, reviews, unlabelled_reviews
+from revlens.sources.tables import labelled_reviews, read_table, reviews, unlabelled_reviews
 
 W = f"WITH {G.REVIEWS_CTE}"
 LAB = f"WITH {G.REVIEWS_CTE}, lab AS (SELECT * FROM reviews WHERE sentiment IS NOT NULL)"
@@ -23,7 +23,7 @@ def _round(df, *cols):
 
 # P9 --------------------------------------------------------------------------------------------
 _NP_COLS = [("doc_id", "bigint"), ("text", "string"), ("category", "string"), ("brand", "string"),
-            ("sentiment", "int"), ("rating", "int")]
+            ("n_chars", "bigint"), ("sentiment", "int"), ("rating", "int")]
 
 
 @query(

@@ -19,7 +19,7 @@ TOKEN_PUNCT_CLASS = "[" + "".join("\\" + c for c in TOKEN_PUNCT) + "]"
 PUNCT_CLASS = "[" + "".join("\\" + c for c in PUNCTUATION) + "]"
 
 REVIEWS_CTE = """reviews AS (
-  SELECT d.doc_id, d.text, d.lang AS category, d.source AS brand,
+  SELECT d.doc_id, d.text, d.lang AS category, d.source AS brand, d.n_chars,
          CAST(1 + ((d.doc_id % 5) + 5) % 5 AS INTEGER) AS rating,
          CAST(CASE WHEN l.toxic = 1 THEN 0 WHEN l.quality = 0 THEN 1
                    WHEN l.quality IS NOT NULL AND l.toxic IS NOT NULL THEN 2 END AS INTEGER) AS sentiment
