@@ -188,8 +188,7 @@ def runs_of(ids: np.ndarray, at: np.ndarray, min_length: int) -> list[list[tuple
             p = np.array(lyndon_array(order))
             # a root has the word one period on equal to its first, or the word before it to its last
             on = np.minimum(here + p, hi - 1)
-            back = np.maximum(here - 1, lo)
-            can = (p <= (hi - lo) // 2) & (((here + p < hi) & (ids[on] == ids[here])) | ((here > lo) & (ids[back] == ids[back + p])))
+            can = (p <= (hi - lo) // 2) & (((here + p < hi) & (ids[on] == ids[here])) | ((here > lo) & (ids[here - 1] == ids[here + p - 1])))
             places.append(here[can])
             periods.append(p[can])
             lows.append(np.full(int(can.sum()), lo))

@@ -67,6 +67,8 @@ def test_runs_against_every_period(min_length):
         for _ in range(40):
             base = [rng.randrange(k) for _ in range(rng.randrange(1, 60))]
             texts.append(base * rng.randrange(1, 4) + [rng.randrange(k) for _ in range(rng.randrange(8))])
+    x, y, z = range(6), range(6, 12), range(12, 18)
+    texts.append([*x, *y, *x, *z, *y, *z])  # all repeated, and one Lyndon word up to the very end
     at = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
     ids = np.array([c for t in texts for c in t], np.int64)
     got = runs_of(ids, at, min_length)
