@@ -11,6 +11,7 @@ from revlens.operators import classify as CL
 from revlens.operators import embed as EM
 from revlens.operators import gsdmm as GS
 from revlens.operators import split as S
+from revlens.operators import subword as SW
 from revlens.operators import topics as TP
 from revlens.operators import vocab as V
 from revlens.plans.q_corpus import derived_vectors, labelled_tokens
@@ -39,11 +40,15 @@ def q_word2vec(spark, sf):
     return FS.read_word_vectors_text(spark, path, header=False)
 
 
+def _subword(spark, sf, toks):
+    """Trained sub-word vectors of every word of ``toks``, rare ones included."""
+    model = SW.train_subword(clean_tokens(spark, sf), "toks", dim=W2V_DIM, window=5, min_count=5, seed=42)
+    return SW.subword_embeddings(model, toks.select(F.explode("toks").alias("word")))
+
+
 @query("subword_lookup")
 def q_subword_lookup(spark, sf):
-    toks = clean_tokens(spark, sf)
-    words = toks.select(F.explode("toks").alias("word")).distinct()
-    return EM.subword_vectors(_w2v(spark, sf), words, W2V_DIM)
+    return _subword(spark, sf, clean_tokens(spark, sf))
 
 
 @query("embed_splits")
@@ -55,9 +60,7 @@ def q_embed_splits(spark, sf):
     mean = EM.mean_pool(toks, "doc_id", "toks", vecs, W2V_DIM).select("doc_id", "split", "sentiment", F.col("embeds").alias("w2v_mean"))
     train = toks.where(F.col("split") == "train")
     idf = V.smooth_idf(train, "doc_id", "toks")
-    words = toks.select(F.explode("toks").alias("word")).distinct()
-    sub = EM.subword_vectors(vecs, words, W2V_DIM)
-    tfidf = EM.idf_pool(toks, "doc_id", "toks", sub, idf, W2V_DIM).select("doc_id", F.col("embeds").alias("ft_tfidf"))
+    tfidf = EM.idf_pool(toks, "doc_id", "toks", _subword(spark, sf, toks), idf, W2V_DIM).select("doc_id", F.col("embeds").alias("ft_tfidf"))
     return mean.join(tfidf, "doc_id")
 
 
