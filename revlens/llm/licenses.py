@@ -7,20 +7,25 @@ word bigrams: ``dice = 2 * sum of min counts / (bigrams of unit + bigrams of tem
 
 A dice of at least ``t`` needs ``t / (2 - t) <= unit size / template size <= (2 - t) / t``. Sizes are
 word counts less one, so the bounds drop units that fit no template before any bigram is built, and
-templates that don't fit a unit inside the join.
-
-Only DataFrame functions. The templates are a fixed table (some ten thousand rows of bigrams), hence the
-broadcast; bigrams that occur in no template leave the plan at that join, and only the rest is
-shuffled, keyed by unit, so that neither a frequent line nor a frequent bigram gathers anywhere.
+templates that don't fit a unit inside the join. It also needs ``t / (2 - t)`` of the template's bigrams to
+be in the unit, so one at least of any ``size - ceil(t / (2 - t) * size) + 1`` of them is. Those with the
+least common words are the template's keys: a unit meets a template by its key bigrams only, and a document
+without such a word of any key leaves before it is cut into units.
+
+Only DataFrame functions. The templates are a fixed table (some ten thousand bigrams), hence the broadcasts.
+A unit meets a template once, by the first key bigram they share; the dice is computed in that row, and
+only units that match are shuffled, so neither a frequent line nor a frequent bigram gathers anywhere.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from revlens.functions.wordlists import spark_stop_words
 from revlens.llm.licensetexts import TEXTS
 from revlens.llm.registry import query, table
 
@@ -172,6 +177,39 @@ def template_bigrams(known: list[tuple[str, str]]) -> list[tuple[int, str, int,
     return rows
 
 
+def needed(threshold: float) -> float:
+    """The least share of a template's bigrams that a unit of ``threshold`` holds, and of a unit's in a template."""
+    return threshold / (2 - threshold)
+
+
+STOP_WORDS = frozenset(spark_stop_words("english"))
+
+
+def commonness(word: str) -> tuple[bool, int]:
+    """A guess at how common a word is in text of any kind: stop words first, then by shortness."""
+    return word in STOP_WORDS, -len(word)
+
+
+def marker(bigram: str) -> str:
+    """The less common word of a bigram, the first of equal ones."""
+    return min(bigram.split(), key=commonness)
+
+
+def key_bigrams(known: list[tuple[str, str]], threshold: float) -> dict[int, list[str]]:
+    """Bigrams of each template, one of which every unit that matches it holds.
+
+    Any ``size - ceil(needed * size) + 1`` elements of the bag would do. Those with the least common marker
+    are taken, and of these the ones whose marker most templates share, so that there are few markers.
+    Repeats of a bigram stand together, so a prefix of the bag is a set of bigrams.
+    """
+    rows = template_bigrams(known)
+    shared = Counter(marker(r[3]) for r in rows)
+    bags: dict[int, list[str]] = {}
+    for k, _, _, bigram, n in sorted(rows, key=lambda r: (r[0], commonness(marker(r[3])), -shared[marker(r[3])], r[3])):
+        bags.setdefault(k, []).extend([bigram] * n)
+    return {k: list(dict.fromkeys(bag[: len(bag) - math.ceil(needed(threshold) * len(bag) - 1e-9) + 1])) for k, bag in bags.items()}
+
+
 def normalised_words(text: Column) -> Column:
     """Words of a text; an array of one empty string if there are none."""
     plain = F.regexp_replace(F.translate(text, UPPER, LOWER), "[^a-z0-9]+", " ")
@@ -204,56 +242,81 @@ def scan_licenses(
     known = templates() if known is None else known
     bigrams = template_bigrams(known)
     spark = docs.sparkSession
-    index = spark.createDataFrame(bigrams, "template int, license string, template_size int, bigram string, template_count int")
-    low, high = threshold / (2 - threshold), (2 - threshold) / threshold
-    sizes = [r[2] for r in bigrams]
+    keys = key_bigrams(known, threshold)
+    sizes = {r[0]: r[2] for r in bigrams}
+    key_rows = [(b, k, sizes[k], own) for k, own in keys.items() for b in own]
+    index = spark.createDataFrame(key_rows, "key string, template int, template_size int, keys array<string>")
+    bags = [(k, known[k][0], [r[3] for r in bigrams if r[0] == k], [(r[3], r[4]) for r in bigrams if r[0] == k and r[4] > 1]) for k in keys]
+    bag = spark.createDataFrame(bags, "template int, license string, distinct array<string>, repeats array<struct<bigram:string,n:int>>")
+    low, high = needed(threshold), 1 / needed(threshold)
 
     text = F.col("text")
     paragraphs = F.split(text, "\n[ \t\r]*\n")
 
     def units(kind: str, parts: Column) -> Column:
         return F.transform(
-            parts, lambda p, i: F.struct(F.lit(kind).alias("unit"), i.cast("int").alias("unit_no"), p.alias("unit_text"))
+            parts,
+            lambda p, i: F.struct(F.lit(kind).alias("unit"), i.cast("int").alias("unit_no"), p.alias("unit_text"), normalised_words(p).alias("words")),
         )
 
     lines = F.split(text, "\n")
-    sentences = F.flatten(F.transform(lines, lambda x: F.when(x.rlike(SENTENCE_END), F.split(x, SENTENCE_END)).otherwise(F.array().cast("array<string>"))))
-    several = F.filter(units("paragraph", paragraphs), lambda u: F.instr(u["unit_text"], "\n") > 0)
-    whole = F.when(F.size(paragraphs) > 1, units("text", F.array(text))).otherwise(
-        F.array().cast("array<struct<unit:string,unit_no:int,unit_text:string>>")
+    none = F.array().cast("array<string>")
+    sentences = F.flatten(F.transform(lines, lambda x: F.when(x.rlike(SENTENCE_END), F.split(x, SENTENCE_END)).otherwise(none)))
+    several = F.filter(paragraphs, lambda p: F.instr(p, "\n") > 0)
+    numbers = F.filter(F.transform(paragraphs, lambda p, i: F.when(F.instr(p, "\n") > 0, i.cast("int"))), lambda i: i.isNotNull())
+    several = F.transform(
+        F.arrays_zip(numbers.alias("i"), several.alias("p")),
+        lambda z: F.struct(F.lit("paragraph").alias("unit"), z["i"].alias("unit_no"), z["p"].alias("unit_text"), normalised_words(z["p"]).alias("words")),
     )
+    whole = units("text", F.when(F.size(paragraphs) > 1, F.array(text)).otherwise(none))
+    quoted = ", ".join(f"'{b}'" for b in sorted({r[0] for r in key_rows})) or "NULL"
+    least, most = math.ceil(low * min(sizes.values(), default=1) - 1e-9), math.floor(high * max(sizes.values(), default=0) + 1e-9)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn(
         "row_no", F.monotonically_increasing_id()
     )
-    parts = (
-        rows.where(text.isNotNull())
-        .select("doc_id", "row_no", F.explode(F.concat(units("line", lines), units("sentence", sentences), several, whole)).alias("u"))
-        .select("doc_id", "row_no", "u.*", normalised_words(F.col("u.unit_text")).alias("words"))
-        .withColumn("unit_size", F.size("words") - 1)
-        .where((F.col("unit_size") >= low * min(sizes)) & (F.col("unit_size") <= high * max(sizes)))
+    markers = ", ".join(f"'{w}'" for w in sorted({marker(r[0]) for r in key_rows})) or "NULL"
+    # each step reads the one before it once, and explode_outer adds no filter of its own: nothing runs twice
+    held = (
+        rows.withColumn("words", normalised_words(text))
+        .where(F.expr(f"exists(words, w -> w IN ({markers}))"))
+        .select("doc_id", "row_no", F.concat(units("line", lines), units("sentence", sentences), several, whole).alias("u"))
+        .withColumn("u", F.expr(f"filter(u, x -> size(x.words) - 1 BETWEEN {least} AND {most})"))
+        .withColumn(
+            "u",
+            F.expr(
+                "transform(u, x -> named_struct('unit', x.unit, 'unit_no', x.unit_no, 'unit_text', x.unit_text, 'bigrams', "
+                "zip_with(slice(x.words, 1, size(x.words) - 1), slice(x.words, 2, size(x.words)), (a, b) -> concat(a, ' ', b))))"
+            ),
+        )
+        .withColumn(
+            "u",
+            F.expr(
+                "transform(u, x -> named_struct('unit', x.unit, 'unit_no', x.unit_no, 'unit_text', x.unit_text, 'bigrams', x.bigrams, "
+                f"'unit_size', size(x.bigrams), 'found', array_distinct(filter(x.bigrams, b -> b IN ({quoted})))))"
+            ),
+        )
+        .select("doc_id", "row_no", F.explode_outer(F.expr("filter(u, x -> size(x.found) > 0)")).alias("u"))
+        .where(F.col("u").isNotNull())
+        .select("doc_id", "row_no", "u.*")
     )
-    pairs = parts.withColumn(
-        "bigram",
-        F.explode(
-            F.transform(
-                F.sequence(F.lit(1), F.col("unit_size")),
-                lambda i: F.concat(F.element_at("words", i), F.lit(" "), F.element_at("words", i + 1)),
-            )
-        ),
-    ).drop("words")
     fits = F.col("unit_size").between(low * F.col("template_size"), high * F.col("template_size"))
-    unit = ["row_no", "doc_id", "unit", "unit_no", "unit_text", "unit_size"]
-    shared = (
-        pairs.join(F.broadcast(index), "bigram")
-        .where(fits)
-        .groupBy(*unit, "template", "license", "template_size", "template_count", "bigram")
-        .agg(F.least(F.count(F.lit(1)), F.first("template_count")).alias("common"))
-        .groupBy(*unit, "template", "license", "template_size")
-        .agg((2.0 * F.sum("common") / (F.col("unit_size") + F.col("template_size"))).alias("dice"))
-        .where(F.col("dice") >= threshold)
+    met = (
+        held.withColumn("key", F.explode("found"))
+        .join(F.broadcast(index), "key")
+        .where(fits & (F.element_at(F.array_intersect("found", "keys"), 1) == F.col("key")))
+        .join(F.broadcast(bag), "template")
     )
-    best = shared.groupBy(*unit).agg(
-        F.max_by(F.struct("license", "template", "dice"), F.struct("dice", -F.col("template"))).alias("m")
+    more = F.aggregate(
+        "repeats",
+        F.lit(0),
+        lambda acc, r: acc + F.greatest(F.least(r["n"], F.size(F.filter("bigrams", lambda b: b == r["bigram"]))) - 1, F.lit(0)),
+    )
+    dice = 2.0 * (F.size(F.array_intersect("distinct", "bigrams")) + more) / (F.col("unit_size") + F.col("template_size"))
+    best = (
+        met.withColumn("dice", dice)
+        .where(F.col("dice") >= threshold)
+        .groupBy("row_no", "doc_id", "unit", "unit_no", "unit_text")
+        .agg(F.max_by(F.struct("license", "template", "dice"), F.struct("dice", -F.col("template"))).alias("m"))
     )
     return best.select("doc_id", "unit", "unit_no", "m.license", "m.template", "m.dice", "unit_text")
 
@@ -262,6 +325,9 @@ def scan_sql(known: list[tuple[str, str]], threshold: float) -> str:
     """DuckDB SQL for the rows of ``scan_licenses`` over ``documents``."""
     words = f"string_split(trim(regexp_replace(translate(unit_text, '{UPPER}', '{LOWER}'), '[^a-z0-9]+', ' ', 'g')), ' ')"
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
+    end = "'([.!?;])[ \\t]+([^ \\t\\r])', '\\1' || chr(10) || '\\2', 'g'"
+    # RE2 has no look-around: a sentence of one character is both an end and a start, so the marks go in twice
+    parted = f"regexp_replace(regexp_replace(x, {end}), {end})"
     return f"""
 WITH t(template, license, template_size, bigram, template_count) AS (VALUES {literal_rows(template_bigrams(known))}),
 r AS (SELECT row_number() OVER () AS row_no, doc_id, text,
@@ -270,6 +336,11 @@ u AS (
   SELECT row_no, doc_id, 'line' AS unit, i - 1 AS unit_no, ls[i] AS unit_text
   FROM (SELECT row_no, doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT *, string_split(text, chr(10)) AS ls FROM r))
   UNION ALL
+  SELECT row_no, doc_id, 'sentence', i - 1, ss[i]
+  FROM (SELECT row_no, doc_id, ss, unnest(range(1, len(ss) + 1)) AS i FROM (SELECT row_no, doc_id, flatten(list_transform(
+    list_filter(list_transform(string_split(text, chr(10)), lambda x: {parted}), lambda x: contains(x, chr(10))),
+    lambda x: string_split(x, chr(10)))) AS ss FROM r))
+  UNION ALL
   SELECT row_no, doc_id, 'paragraph', i - 1, ps[i]
   FROM (SELECT row_no, doc_id, ps, unnest(range(1, len(ps) + 1)) AS i FROM r) WHERE contains(ps[i], chr(10))
   UNION ALL

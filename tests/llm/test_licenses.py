@@ -1,9 +1,12 @@
+import math
+import random
+import re
 from collections import Counter
 
 import duckdb
 import pytest
 
-from revlens.llm.licenses import THRESHOLD, scan_licenses, scan_sql, templates, words_of
+from revlens.llm.licenses import THRESHOLD, key_bigrams, scan_licenses, scan_sql, templates, words_of
 
 
 def dice(a, b):
@@ -20,6 +23,10 @@ TEXTS = [
         "granted, provided that the above copyright notice\nand this permission notice appear in all copies.\n\nEnd"),
     (6, "Licensed under CC BY-NC 4.0.\n" * 3),
     (7, "the license the license the license the license"),
+    (8, "A tool for many things we do. Released under the MIT License. Have fun! x ! y. Licensed under the ISC License;  bye\r\nAll rights reserved. "),
+    (9, "Some words first. " + templates()[-1][1].replace(". ", ".  ") + "\n\n" + templates()[120][1]),
+    (10, "\n\n".join(t for _, t in templates()[150:190])),
+    (11, "the the the the the the. rights reserved all rights reserved all rights"),
 ]
 
 
@@ -28,8 +35,10 @@ def test_against_brute_force(make_docs):
     got = {(r.doc_id, r.unit, r.unit_no): (r.license, r.template, round(r.dice, 9)) for r in scan_licenses(make_docs(TEXTS)).collect()}
     want = {}
     for i, text in TEXTS:
-        ps = text.split("\n\n")
+        ps = re.split(r"\n[ \t\r]*\n", text)
         units = [("line", k, u) for k, u in enumerate(text.split("\n"))]
+        parted = [re.split(r"(?<=[.!?;])[ \t]+(?=[^ \t\r])", x) for x in text.split("\n")]
+        units += [("sentence", k, u) for k, u in enumerate(u for p in parted if len(p) > 1 for u in p)]
         units += [("paragraph", k, u) for k, u in enumerate(ps) if "\n" in u] + ([("text", 0, text)] if len(ps) > 1 else [])
         for kind, k, u in units:
             if len(words_of(u)) > 1:
@@ -56,6 +65,20 @@ def test_reserved_rights_bodies_and_notices_inside_lines(make_docs):
     assert all(("paragraph", licence) in got[10 + k] for k, licence in enumerate(LONG))
 
 
+@pytest.mark.parametrize("t", [0.5, 0.8, 0.95])
+def test_units_that_match_hold_a_key_bigram(t):
+    """Dropping as many bigrams from a template as the threshold allows leaves one of its keys."""
+    rng = random.Random(3)
+    known = templates()
+    keys = key_bigrams(known, t)
+    for k in rng.sample(sorted(keys), 60):
+        words = words_of(known[k][1])
+        bag = [" ".join(b) for b in zip(words, words[1:])]
+        order = sorted(bag, key=lambda b: b in keys[k])  # the keys go last, so they're what a unit drops first
+        most = order[: math.ceil(t / (2 - t) * len(bag) - 1e-9)]
+        assert set(most) & set(keys[k])
+
+
 def test_nasty_and_empty(nasty, empty):
     assert scan_licenses(nasty).count() == 0
     assert scan_licenses(empty).count() == 0
@@ -66,7 +89,7 @@ def test_repeated_rows_are_scanned_each(make_docs):
     assert sorted((str(r.doc_id), r.dice) for r in rows.collect()) == [("1", 1.0), ("1", 1.0), ("None", 1.0)]
 
 
-@pytest.mark.parametrize("t", [0.6, 0.95])
+@pytest.mark.parametrize("t", [0.6, 0.8, 0.95])
 def test_sql_agrees(make_docs, t, tmp_path):
     docs = make_docs(TEXTS)
     docs.write.parquet(str(tmp_path / "d"))
