@@ -16,12 +16,14 @@ from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes, OneVsRest, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer, SQLTransformer
+from pyspark.ml.functions import predict_batch_udf
 from pyspark.ml.linalg import DenseVector
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol, Param, Params, TypeConverters
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from revlens.operators import evaluate as EV
 from revlens.operators.split import assign_folds, with_class_weights
@@ -149,20 +151,53 @@ def predict(model, df: DataFrame) -> DataFrame:
 
 
 # M8 ----------------------------------------------------------------------------------------------
-def batch_score(df: DataFrame, input_col: str, scorer, n_classes: int, out_col: str = "logits") -> DataFrame:
-    """Score Arrow batches with a caller's ``scorer(np.ndarray[n, d]) -> np.ndarray[n, k]`` in
-    ``mapInPandas``; the arg-max is then a JVM expression."""
-    schema = f"{', '.join(f'`{c}` {t}' for c, t in df.dtypes)}, `{out_col}` array<double>"
-
-    def run(batches):
-        for pdf in batches:
-            x = np.stack(pdf[input_col].map(lambda v: np.asarray(v, dtype=np.float64)).to_numpy()) if len(pdf) else np.zeros((0, 0))
-            y = scorer(x) if len(pdf) else np.zeros((0, n_classes))
-            pdf[out_col] = list(np.asarray(y, dtype=np.float64))
-            yield pdf
-
-    scored = df.mapInPandas(run, schema)
-    return scored.withColumn("prediction", EV.argmax(F.col(out_col)))
+def batch_score(
+    df: DataFrame, input_col: str, make_scorer, dim: int, out_col: str = "logits", batch_bytes: int = 8 << 20
+) -> DataFrame:
+    """Score batches of array<double> inputs of length ``dim`` with a model that each worker loads once.
+
+    ``make_scorer()`` runs in the worker, where it builds or loads the model, and returns a function from
+    float64 [n, dim] to scores [n, k] (``predict_batch_udf`` keeps it for all batches of the worker).
+    Batches are bounded by ``batch_bytes`` of input. Adds ``out_col`` (array<double>) and ``prediction``, the
+    arg-max, which is a JVM expression.
+    """
+
+    def make():
+        scorer = make_scorer()
+        return lambda x: np.asarray(scorer(np.asarray(x, np.float64).reshape(-1, dim)), np.float64)
+
+    score = predict_batch_udf(make, return_type=T.ArrayType(T.DoubleType()), batch_size=max(1, batch_bytes // (8 * dim)), input_tensor_shapes=[[dim]])
+    return df.withColumn(out_col, score(F.col(input_col))).withColumn("prediction", EV.argmax(F.col(out_col)))
+
+
+def linear_scorer(coefficients: np.ndarray, intercepts: np.ndarray):
+    """A ``make_scorer`` for the linear model of a fitted classifier; the matrix travels in the closure."""
+
+    def make():
+        return lambda x: x @ coefficients.T + intercepts
+
+    return make
+
+
+# nearest centroid --------------------------------------------------------------------------------
+def fit_centroids(df: DataFrame, label: str, vec: str, dim: int) -> DataFrame:
+    """(class, centroid): the mean vector of each class, one aggregate for all dimensions."""
+    means = [F.avg(F.col(vec)[i]).alias(f"m{i}") for i in range(dim)]
+    return df.groupBy(F.col(label).alias("class")).agg(*means).select("class", F.array(*[F.col(f"m{i}") for i in range(dim)]).alias("centroid"))
+
+
+def centroid_scores(df: DataFrame, centroids: DataFrame, vec: str, out_col: str = "logits") -> DataFrame:
+    """Adds minus the squared distance to every centroid, in the order of classes.
+
+    The centroids are one row (classes x dimensions numbers), which is what is broadcast.
+    """
+    row = centroids.agg(F.sort_array(F.collect_list(F.struct("class", "centroid"))).alias("__c"))
+
+    def score(c: Column) -> Column:
+        squares = F.zip_with(F.col(vec), c["centroid"], lambda x, m: (x - m) * (x - m))
+        return -F.aggregate(squares, F.lit(0.0), lambda acc, x: acc + x)
+
+    return df.join(F.broadcast(row)).withColumn(out_col, F.transform("__c", score)).drop("__c")
 
 
 # M9 / M7 -----------------------------------------------------------------------------------------

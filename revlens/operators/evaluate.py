@@ -2,8 +2,8 @@
 
 Everything is computed from the K x K count table (one ``groupBy`` with map-side
 combining), so the work over predictions is a single aggregation whatever their number;
-ROC / PR / calibration use a score histogram and cumulative sums over bins, never a window
-over predictions.
+ROC / PR / calibration use a score histogram and cumulative sums over bins, or (``exact_curve``)
+two-level prefix sums over the distinct scores, never one window over all predictions.
 """
 
 from __future__ import annotations
@@ -11,6 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from revlens.session import scratch_path
+from revlens.sources.registry import new_run_id
+
 
 def argmax(arr: Column) -> Column:
     """0-based index of the largest element (first on ties)."""
@@ -148,6 +151,52 @@ def roc_pr_points(df: DataFrame, label: str = "label", prob: str = "probability"
     )
 
 
+def exact_curve(df: DataFrame, label: str = "label", prob: str = "probability", parts: int | None = None) -> DataFrame:
+    """E5: one-vs-rest ROC and PR points per class at every distinct score; equal scores are one point.
+
+    Two-level prefix sums: the distinct (class, score) rows are range-partitioned, downwards by score, and
+    written with their partition's number; the partitions' totals, one row each, give the offsets, and the
+    running sums stay within a partition. A class of any size is spread over all partitions. Columns:
+    class, threshold, n_pos, n_neg, tp, fp, pos, neg, tpr, fpr, precision. Null labels and scores are left out.
+    """
+    spark = df.sparkSession
+    scores = _class_scores(df.where(F.col(label).isNotNull()), label, prob).where(F.col("score").isNotNull())
+    points = scores.groupBy("class", "score").agg(
+        F.sum(F.col("pos").cast("bigint")).alias("n_pos"), F.sum((~F.col("pos")).cast("bigint")).alias("n_neg")
+    )
+    n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = points.repartitionByRange(n, F.asc("class"), F.desc("score")).withColumn("part", F.spark_partition_id())
+    path = scratch_path(spark, f"curve-{new_run_id()}")
+    ranged.write.parquet(path)
+    held = spark.read.schema(ranged.schema).parquet(path)
+    totals = held.groupBy("class", "part").agg(F.sum("n_pos").alias("p"), F.sum("n_neg").alias("n"))
+    before = Window.partitionBy("class").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.partitionBy("class")
+    zero = F.lit(0).cast("bigint")
+    offsets = totals.select(
+        "class", "part", F.coalesce(F.sum("p").over(before), zero).alias("p0"), F.coalesce(F.sum("n").over(before), zero).alias("n0"),
+        F.sum("p").over(everything).alias("pos"), F.sum("n").over(everything).alias("neg"),
+    )
+    down = Window.partitionBy("class", "part").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    c = held.join(offsets, ["class", "part"]).select(
+        "class", F.col("score").alias("threshold"), "n_pos", "n_neg",
+        (F.col("p0") + F.sum("n_pos").over(down)).alias("tp"), (F.col("n0") + F.sum("n_neg").over(down)).alias("fp"), "pos", "neg",
+    )
+    return c.select(
+        "*", _ratio(F.col("tp"), F.col("pos")).alias("tpr"), _ratio(F.col("fp"), F.col("neg")).alias("fpr"),
+        _ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
+    )
+
+
+def curve_areas(curve: DataFrame) -> DataFrame:
+    """(class, pos, neg, auc, average_precision) of ``exact_curve``: trapezoids under the ROC points, and the
+    sum of precision over steps of recall. A class without positives or without negatives has nulls."""
+    auc = F.sum(F.col("n_neg") * (F.lit(2) * F.col("tp") - F.col("n_pos"))) / (F.lit(2.0) * F.col("pos") * F.col("neg"))
+    ap = F.sum(F.col("n_pos") * F.col("precision")) / F.col("pos")
+    both = (F.col("pos") > 0) & (F.col("neg") > 0)
+    return curve.groupBy("class", "pos", "neg").agg(F.when(both, auc).alias("auc"), F.when(F.col("pos") > 0, ap).alias("average_precision"))
+
+
 def calibration(df: DataFrame, label: str = "label", prob: str = "probability", bins: int = 10) -> DataFrame:
     """E5: mean predicted score and observed positive rate per score bin and class."""
     s = _class_scores(df, label, prob)

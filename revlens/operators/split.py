@@ -1,6 +1,10 @@
 """Seeded, exact-size splits, folds and class weights.
 
-Order is a seeded hash ``md5(seed:key)``. An exact global rank never uses an
+Order is a seeded hash ``md5(seed:key)``. Splits by size need no rank at all: the hash of the row at a
+cut-off is found by radix selection (``cut_offs``: counts by leading hex digits, then by the digits below
+the one bucket that holds the rank), and the split itself is a comparison of hashes in a map.
+
+Where every row needs its rank (folds), an exact global rank never uses an
 un-partitioned window over documents: rows are bucketed by the leading hex digits of the
 hash, the per-bucket counts (a table bounded by 16**digits rows per partition key) give
 cumulative offsets, and ``row_number`` runs only inside a bucket. A hot class is spread
@@ -9,6 +13,8 @@ over all buckets, so no task holds more than ~n/16**digits rows.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,18 +79,53 @@ def ordered_rank(df: DataFrame, order: list, bucket: list, partition_cols: tuple
     return joined.withColumn(rank_col, F.col("__off") + F.row_number().over(within)).drop(*names, "__off")
 
 
+def cut_offs(df: DataFrame, key: str, seed: int | str, ranks: list[int], digits: int = 4) -> list[str | None]:
+    """For each rank the hash of the row that has it in the order of hashes; None for ranks below 1.
+
+    Each step is one aggregation over the keys: counts by the next ``digits`` hex digits within the buckets
+    that hold a rank still open, 16 ** digits numbers for each at most. A null key counts as the empty
+    hash. A rank beyond the last row gets a hash beyond all.
+    """
+    h = F.coalesce(seeded_hash(F.col(key), seed), F.lit(""))
+    rows = df.select(h.alias("h"))
+    found: list[str | None] = [None] * len(ranks)
+    open_ = {i: ("", r) for i, r in enumerate(ranks) if r >= 1}  # rank i lies below a prefix, at this rank in it
+    while open_:
+        prefixes = sorted({p for p, _ in open_.values()})
+        n = len(prefixes[0])
+        within = rows if not n else rows.where(F.substring("h", 1, n).isin(prefixes))
+        counted: dict[str, list[tuple[str, int]]] = {p: [] for p in prefixes}
+        for r in within.groupBy(F.substring("h", 1, n + digits).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect():
+            counted[r["b"][:n]].append((r["b"], r["n"]))
+        for i, (p, rank) in list(open_.items()):
+            for bucket, size in sorted(counted[p]):
+                if rank <= size:
+                    break
+                rank -= size
+            else:
+                bucket = "g" * 32  # after every hex digit
+            if len(bucket) < n + digits or len(bucket) >= 32:
+                found[i] = bucket
+                del open_[i]
+            else:
+                open_[i] = (bucket, rank)
+    return found
+
+
+def up_to(key: str, seed: int | str, cut: str | None) -> Column:
+    """Whether a row lies at or before a cut-off of ``cut_offs``."""
+    return F.lit(False) if cut is None else F.coalesce(seeded_hash(F.col(key), seed), F.lit("")) <= F.lit(cut)
+
+
 # R1 -------------------------------------------------------------------------------------------
 def split_exact(df: DataFrame, key: str = "doc_id", seed: int = 42, train_frac: float = 0.9, val_frac: float = 0.1) -> DataFrame:
-    """train = int(.9 n); validation = first int(.1 train) of it; test = the rest."""
-    r = exact_rank(df, key, seed)
-    n_train = F.floor(F.col("n_total") * F.lit(train_frac))
-    n_val = F.floor(n_train * F.lit(val_frac))
-    split = (
-        F.when(F.col("rank") <= n_val, F.lit("validation"))
-        .when(F.col("rank") <= n_train, F.lit("train"))
-        .otherwise(F.lit("test"))
-    )
-    return r.withColumn("split", split).drop("n_total")
+    """train = int(.9 n); validation = first int(.1 train) of it; test = the rest.
+
+    Keys are unique; rows that share a key share their split."""
+    n_train = math.floor(df.select(key).count() * train_frac)
+    val, train = cut_offs(df, key, seed, [math.floor(n_train * val_frac), n_train])
+    split = F.when(up_to(key, seed, val), F.lit("validation")).when(up_to(key, seed, train), F.lit("train")).otherwise(F.lit("test"))
+    return df.withColumn("split", split)
 
 
 # R2 -------------------------------------------------------------------------------------------
@@ -97,12 +138,9 @@ def split_threshold(df: DataFrame, key: str = "doc_id", seed: int = 42, train_pe
 # R3 -------------------------------------------------------------------------------------------
 def carve_validation(df: DataFrame, key: str = "doc_id", seed: int = 42, frac: float = 0.2, split_col: str = "split") -> DataFrame:
     """Move the first int(frac * total) training rows (hash order) to ``validation``."""
-    ranked = exact_rank(df, key, seed, partition_cols=(split_col,), total_col=None, grand_total_col="__n")
-    cut = F.floor(F.col("__n") * F.lit(frac))
-    return ranked.withColumn(
-        split_col,
-        F.when((F.col(split_col) == "train") & (F.col("rank") <= cut), F.lit("validation")).otherwise(F.col(split_col)),
-    ).drop("rank", "__n")
+    train = F.col(split_col) == "train"
+    (cut,) = cut_offs(df.where(train), key, seed, [math.floor(df.select(key).count() * frac)])
+    return df.withColumn(split_col, F.when(train & up_to(key, seed, cut), F.lit("validation")).otherwise(F.col(split_col)))
 
 
 # R5 -------------------------------------------------------------------------------------------
@@ -132,8 +170,8 @@ def with_class_weights(df: DataFrame, label: str, weight_col: str = "weight", co
 # O3 -------------------------------------------------------------------------------------------
 def clip_corpus(df: DataFrame, frac: float, key: str = "doc_id", seed: int = 42) -> DataFrame:
     """The first floor(n * frac) rows in hash order."""
-    r = exact_rank(df, key, seed)
-    return r.where(F.col("rank") <= F.floor(F.col("n_total") * F.lit(frac))).drop("rank", "n_total")
+    (cut,) = cut_offs(df, key, seed, [math.floor(df.select(key).count() * frac)])
+    return df.where(up_to(key, seed, cut))
 
 
 # R4 -------------------------------------------------------------------------------------------

@@ -1,9 +1,10 @@
 """Evaluation (E1-E6, M10), augmentation (G1-G3), topic tables (C4, C5, C7, C11, C12) and
 the run registry (S10).
 
-Predictions come from the supplied ``embeddings`` table: the first ten dimensions are read
-as class logits, ``prediction`` is their arg-max and ``probability`` their softmax, against
-the stored ``label``.
+Predictions come from a nearest-centroid classifier fitted on the training rows (hash split) of the
+supplied ``embeddings`` table and applied to all rows: the logits are minus the squared distances to the
+class centroids over all dimensions, ``prediction`` is their arg-max and ``probability`` their softmax,
+against the stored ``label``. It is a model that SQL can fit as well.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from revlens.functions import text as T
 from revlens.operators import augment as AU
+from revlens.operators import classify as CL
 from revlens.operators import coherence as CO
 from revlens.operators import evaluate as EV
 from revlens.operators import split as S
@@ -22,10 +24,14 @@ from revlens.plans.q_text import CLEAN_TOKS_SQL, clean_tokens
 from revlens.plans.registry import query, r6
 from revlens.sources.tables import read_table, reviews
 
-N_LOGITS = 10
+DIM = 64
 
 PRED_SQL = (
-    "WITH pe AS (SELECT vec_id, label, list_transform(embedding[1:10], lambda x: CAST(x AS DOUBLE)) AS lg FROM embeddings), "
+    "WITH xs AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings), "
+    "ce AS (SELECT label AS class, i, avg(x) AS mu FROM xs "
+    "WHERE CAST(('0x' || substr(md5('42:' || CAST(vec_id AS VARCHAR)), 1, 8)) AS BIGINT) % 1000 < 750 GROUP BY 1, 2), "
+    "ds AS (SELECT vec_id, label, class, -sum((x - mu) * (x - mu)) AS s FROM xs JOIN ce USING (i) GROUP BY 1, 2, 3), "
+    "pe AS (SELECT vec_id, label, list(s ORDER BY class) AS lg FROM ds GROUP BY 1, 2), "
     "pm AS (SELECT *, list_max(lg) AS mx FROM pe), "
     "pr AS (SELECT vec_id, label, CAST(list_position(lg, mx) - 1 AS INTEGER) AS prediction, "
     "list_transform(lg, lambda x: exp(x - mx)) AS ex FROM pm), "
@@ -45,10 +51,11 @@ PRED_SQL = (
 
 
 def predictions(spark, sf):
-    e = read_table(spark, sf, "embeddings")
-    logits = F.slice(F.col("embedding").cast("array<double>"), 1, N_LOGITS)
-    return e.select(
-        "vec_id", "label", EV.argmax(logits).alias("prediction"), EV.softmax(logits).alias("probability")
+    e = read_table(spark, sf, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("x"))
+    train = S.split_threshold(e, "vec_id").where("split = 'train'")
+    scored = CL.centroid_scores(e, CL.fit_centroids(train, "label", "x", DIM), "x")
+    return scored.select(
+        "vec_id", "label", EV.argmax(F.col("logits")).alias("prediction"), EV.softmax(F.col("logits")).alias("probability")
     )
 
 
@@ -134,6 +141,41 @@ def q_pr_points(spark, sf):
     return _r(p, "threshold", "precision", "recall")
 
 
+# points at every distinct score, rounded so that both engines see the same ties
+EXACT_SQL = (
+    PRED_SQL + ", sc AS (SELECT label, round(unnest(probability), 6) AS score, generate_subscripts(probability, 1) - 1 AS class FROM pp), "
+    "h AS (SELECT class, score, sum(CASE WHEN label = class THEN 1 ELSE 0 END) AS n_pos, sum(CASE WHEN label <> class THEN 1 ELSE 0 END) AS n_neg "
+    "FROM sc GROUP BY 1, 2), "
+    "cu AS (SELECT *, sum(n_pos) OVER (PARTITION BY class ORDER BY score DESC) AS tp, sum(n_neg) OVER (PARTITION BY class ORDER BY score DESC) AS fp, "
+    "sum(n_pos) OVER (PARTITION BY class) AS P, sum(n_neg) OVER (PARTITION BY class) AS N FROM h)"
+)
+
+
+def _exact(spark, sf):
+    rounded = F.transform("probability", lambda x: F.round(x, 6))
+    return EV.exact_curve(predictions(spark, sf).withColumn("probability", rounded))
+
+
+@query(
+    "curve_exact",
+    EXACT_SQL + f" SELECT CAST(class AS INTEGER) AS class, score AS threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, "
+    f"{r6('CASE WHEN P = 0 THEN 0.0 ELSE tp / P END')} AS tpr, {r6('CASE WHEN N = 0 THEN 0.0 ELSE fp / N END')} AS fpr, "
+    f"{r6('tp / (tp + fp)')} AS precision FROM cu",
+)
+def q_curve_exact(spark, sf):
+    return _r(_exact(spark, sf).select("class", "threshold", "tp", "fp", "tpr", "fpr", "precision"), "tpr", "fpr", "precision")
+
+
+@query(
+    "curve_areas",
+    EXACT_SQL + " SELECT CAST(class AS INTEGER) AS class, CAST(P AS BIGINT) AS pos, CAST(N AS BIGINT) AS neg, "
+    f"{r6('CASE WHEN P > 0 AND N > 0 THEN sum(n_neg * (2 * tp - n_pos)) / (2.0 * P * N) END')} AS auc, "
+    f"{r6('CASE WHEN P > 0 THEN sum(n_pos * tp / (tp + fp)) / P END')} AS average_precision FROM cu GROUP BY class, P, N",
+)
+def q_curve_areas(spark, sf):
+    return _r(EV.curve_areas(_exact(spark, sf)), "auc", "average_precision")
+
+
 @query(
     "calibration",
     SCORES_SQL + f" SELECT CAST(class AS INTEGER) AS class, CAST(least(floor(score * 10), 9) AS INTEGER) AS bin, {r6('avg(score)')} AS mean_score, "

@@ -170,12 +170,13 @@ def q_train_predict(spark, sf):
 # M8 ----------------------------------------------------------------------------------------------
 @query("batch_score")
 def q_batch_score(spark, sf):
-    e = read_table(spark, sf, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("x"))
+    """Every embedding scored in batches by a logistic regression fitted on the training rows."""
+    from pyspark.ml.classification import LogisticRegression
 
-    def scorer(x: np.ndarray) -> np.ndarray:
-        return x[:, :10]  # a caller's model: here the first ten dimensions are the logits
-
-    return CL.batch_score(e, "x", scorer, 10).select("vec_id", "label", "prediction")
+    sets = embedded_sets(spark, sf)
+    model = LogisticRegression(maxIter=50, regParam=0.01, weightCol="weight").fit(sets.where("split = 'train'"))
+    make = CL.linear_scorer(model.coefficientMatrix.toArray(), model.interceptVector.toArray())
+    return CL.batch_score(sets, "embeds", make, model.numFeatures).select(F.col("doc_id").alias("vec_id"), "label", "prediction")
 
 
 # M9 ----------------------------------------------------------------------------------------------
@@ -288,26 +289,52 @@ def q_lsi_grid(spark, sf):
     return _union(spark, parts, "num_topics int, coherence double, sentiment int")
 
 
-@query("gsdmm")
-def q_gsdmm(spark, sf):
-    """MGP per class at once: K=2 for negative, 8 otherwise; alpha = beta = 0.1; 100 sweeps."""
-    lt = labelled_tokens(spark, sf)
+def _bags(lt):
+    """Vocabulary by class, and the bags of words of all documents; some have no word of the vocabulary."""
     voc = V.filter_extremes(lt, "doc_id", "toks", ["sentiment"])
     bow = V.bag_of_words(lt, "doc_id", "toks", voc, ["sentiment"])
     grouped = bow.groupBy("sentiment", "doc_id").agg(F.sort_array(F.collect_list(F.struct("term_id", "tf"))).alias("p"))
-    # documents without in-vocabulary words still take part (their likelihood is the prior)
     docs = lt.select("sentiment", "doc_id").join(grouped, ["sentiment", "doc_id"], "left").select(
         "sentiment", "doc_id",
         F.coalesce(F.col("p.term_id"), F.array().cast("array<int>")).alias("ids"),
         F.coalesce(F.col("p.tf").cast("array<int>"), F.array().cast("array<int>")).alias("cnts"),
     )
+    return voc, docs
+
+
+def _fit_gsdmm(lt, voc, docs):
+    """K = 2 for negative, 8 otherwise; alpha = beta = 0.1; 100 sweeps."""
     vs = {r["sentiment"]: r["v"] for r in voc.groupBy("sentiment").agg(F.count(F.lit(1)).alias("v")).collect()}
     vs = {r["sentiment"]: vs.get(r["sentiment"], 0) for r in lt.select("sentiment").distinct().collect()}
     ks = {c: (2 if c == 0 else 8) for c in vs}
-    assign, _ = GS.fit_gsdmm(docs, "sentiment", ks, vs, 0.1, 0.1, 100, seed=42)
+    return GS.fit_gsdmm(docs, "sentiment", ks, vs, 0.1, 0.1, 100, seed=42)
+
+
+@query("gsdmm")
+def q_gsdmm(spark, sf):
+    """MGP of all classes at once."""
+    lt = labelled_tokens(spark, sf)
+    assign, _ = _fit_gsdmm(lt, *_bags(lt))
     return assign.withColumnRenamed("z", "cluster")
 
 
+@query("gsdmm_fold_in")
+def q_gsdmm_fold_in(spark, sf):
+    """S9 + C3: MGP of the training documents, saved, loaded and applied to the other documents."""
+    lt = S.split_threshold(labelled_tokens(spark, sf))
+    train = lt.where("split = 'train'")
+    voc, docs = _bags(train)
+    _, model = _fit_gsdmm(train, voc, docs)
+    model = GS.load_gsdmm(spark, GS.save_gsdmm(model, scratch_path(spark, "gsdmm-" + new_run_id())))
+    test = lt.where("split = 'test'").join(F.broadcast(spark.createDataFrame([(c,) for c in model.clusters], "sentiment int")), "sentiment")
+    bow = V.bag_of_words(test, "doc_id", "toks", voc, ["sentiment"])
+    bags = bow.groupBy("sentiment", "doc_id").agg(F.collect_list(F.struct("term_id", "tf")).alias("p"))
+    new = test.select("sentiment", "doc_id").join(bags, ["sentiment", "doc_id"], "left").select(
+        "sentiment", "doc_id", F.col("p.term_id").alias("ids"), F.col("p.tf").cast("array<int>").alias("cnts")
+    )
+    return GS.fold_in(model, new).withColumnRenamed("z", "cluster")
+
+
 # S1-S7 ---------------------------------------------------------------------------------------------
 @query("split_roundtrip")
 def q_split_roundtrip(spark, sf):

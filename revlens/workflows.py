@@ -59,7 +59,7 @@ def prepare_dataset(
     if form not in ("text", "tokens"):
         raise ValueError(f"unknown form {form}")
     mapping = label_map or {1: 0, 2: 0, 3: 1, 4: 2, 5: 2}
-    df = S.split_exact(reviews.select(key, "text", "rating"), key, seed).drop("rank")
+    df = S.split_exact(reviews.select(key, "text", "rating"), key, seed)
     df = df.withColumn("tokens", T.clean_text(F.col("text"), opts)).drop("text")
     df = df.withColumn("text", F.nullif(T.join_tokens(F.col("tokens")), F.lit("")))
     df = P.recode_labels(df, mapping, "rating", "labels")

@@ -233,7 +233,7 @@ def test_gsdmm_recovers_planted_clusters(spark):
         ids = sorted(set(rng.sample(range(base, base + 10), 5)))
         rows.append(("c", d, ids, [1] * len(ids), 0 if d < 30 else 1))
     df = spark.createDataFrame(rows, "g string, doc_id int, ids array<int>, cnts array<int>, truth int")
-    assign, _ = GS.fit_gsdmm(df.drop("truth"), "g", {"c": 8}, {"c": 20}, 0.1, 0.1, 20, seed=3, checkpoint_every=5)
+    assign, _ = GS.fit_gsdmm(df.drop("truth"), "g", {"c": 8}, {"c": 20}, 0.1, 0.1, 20, seed=3)
     j = assign.join(df.select("doc_id", "truth"), "doc_id")
     pure = j.groupBy("z").agg(F.countDistinct("truth").alias("k")).collect()
     assert all(r["k"] == 1 for r in pure)
