@@ -2,13 +2,17 @@
 
 1. Markup is stripped into lines: one per block element (a paragraph, a heading, an item, a cell).
    Scripts, styles, comments and forms go, and so do containers that say they are not the article: by
-   tag (nav, footer, aside ...), role, or the words of their class and id.
+   tag (nav, footer, aside ...), role, or the names in their class and id. A name like ``has-comments`` or
+   ``share-enabled`` describes the container, it doesn't say what it is. A container that holds the only
+   article or main element of a page is never cut for its names.
 2. Each line has a weight: its characters outside links, 0 where links hold half of it or more. Lines in
-   an article or main element get ``surge`` on top, and then the lines outside weigh nothing.
+   an article or main element count whole, links too, with ``surge`` on top, and then the lines outside
+   weigh nothing.
 3. Window sums ``B[i] = w[i] + ... + w[i + k - 1]`` are the distribution. The text surges at the first
    line with weight whose window reaches ``surge``, and dives where the window falls below ``dive``.
 4. Lines between surge and dive are kept. Two kept stretches that only plain short lines part are one
-   stretch, and a heading just above a surge belongs to it.
+   stretch, a heading just above a surge belongs to it, and so do short plain lines before and after it
+   that stand in the same container.
 
 Runs per page inside Arrow batches; pages need no shuffle and share no state.
 """
@@ -18,6 +22,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -26,14 +31,16 @@ from pyspark.sql import functions as F
 from revlens.llm.registry import query, table
 
 # --- fixed values: tags and the words of class and id that mark what isn't the article -----------
-RAW = {"script", "style", "noscript", "template", "iframe", "svg", "object", "canvas", "textarea", "title", "math"}
-SKIP = {"head", "nav", "footer", "aside", "form", "menu", "dialog", "select", "button", "label", "fieldset", "figure"}
+RAW = {"script", "style", "noscript", "template", "iframe", "svg", "object", "canvas", "textarea", "title"}
+SKIP = {"head", "nav", "footer", "aside", "form", "menu", "dialog", "select", "label", "fieldset"}
 INLINE = set(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var wbr br input".split()
+    "a abbr acronym b bdi bdo big button cite code data del dfn em font i img ins kbd mark math q rp rt ruby s samp small "
+    "span strike strong sub sup time tt u var wbr br input mi mn mo mrow msup msub mfrac msqrt mtext semantics annotation".split()
 )
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+CODE = {"pre", "code", "samp", "kbd"}
+CONTAINERS = set("html body div section article main td th ul ol dl table center blockquote header".split())
 NEVER = set(
     "ad ads adv advert advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr popup modal "
     "newsletter subscribe sidebar rail widget related recommended recommendations share sharing social breadcrumb "
@@ -42,45 +49,153 @@ NEVER = set(
 )
 RARELY = set("header masthead topbar toolbar banner notice notices alert side search legal tags skip".split())
 CONTENT = set("article content main post entry body story text page".split())
+DESCRIBES = set("has have with without no not non is are can show shows hide hides supports allow allows enabled disabled on off open closed count".split())
 ROLES = set("navigation banner contentinfo complementary search alert dialog alertdialog form menu menubar".split())
 # -----------------------------------------------------------------------------------------------
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S
-)
+NAME = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
 ATTR = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 RAW_END = {t: re.compile(rf"</{t}\b[^>]*>|\Z", re.I) for t in RAW}
 
 
-def unwanted(tag: str, attrs: str) -> bool:
-    """Whether an opening tag starts a container that isn't part of the article."""
-    if tag in SKIP:
-        return True
-    if not attrs or tag in ("html", "body", "main"):
-        return False
-    found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTR.finditer(attrs)}
+class Tag(NamedTuple):
+    """A tag or comment at ``page[start:end]``; comments and declarations have no name."""
+
+    start: int
+    end: int
+    name: str
+    closing: bool
+    attrs: str
+
+
+def tags_of(page: str) -> list[Tag]:
+    """The tags of a page in order, found in time linear in its length.
+
+    A ``>`` in quotes doesn't end a tag. Where a quote is never closed it is a plain character. The next
+    occurrences of ``>`` and of both quotes are remembered, and once a tag has run to the end of the page
+    in search of its ``>`` the quotes of later ones are ignored, so nothing is searched again and again.
+    """
+    out: list[Tag] = []
+    size = len(page)
+    seen = {c: (0, -1) for c in ">\"'"}
+    quoted = True
+
+    def following(c: str, at: int) -> int:
+        since, found = seen[c]
+        if not since <= at <= found:
+            found = page.find(c, at)
+            seen[c] = (at, size if found < 0 else found)
+        return seen[c][1]
+
+    at = 0
+    while (at := page.find("<", at)) >= 0:
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            end = size if end < 0 else end + 3
+            out.append(Tag(at, end, "", False, ""))
+            at = end
+            continue
+        m = NAME.match(page, at)
+        if not m and page[at + 1 : at + 2] not in ("!", "?"):
+            at += 1
+            continue
+        first = following(">", at)
+        if first >= size:
+            break  # no tag ends after this point
+        i = m.end() if m else at + 2
+        end = first
+        while m and quoted:
+            end = following(">", i)
+            quote = min(following('"', i), following("'", i))
+            if end >= size:
+                quoted, end = False, first
+                break
+            if quote > end:
+                break
+            close = page.find(page[quote], quote + 1) if quote < size else -1
+            if close < 0:
+                break
+            i = close + 1
+        name = m[2].lower() if m else ""
+        out.append(Tag(at, end + 1, name, bool(m and m[1]), page[m.end() : end] if m else ""))
+        at = end + 1
+        if name in RAW and not out[-1].closing and not out[-1].attrs.endswith("/"):
+            raw = RAW_END[name].search(page, at)
+            out[-1] = out[-1]._replace(end=raw.end())
+            at = raw.end()
+    return out
+
+
+def attributes(attrs: str) -> dict[str, str]:
+    return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTR.finditer(attrs)} if attrs else {}
+
+
+def hidden(found: dict[str, str]) -> bool:
     if "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", ""):
         return True
-    if found.get("role", "").lower() in ROLES:
-        return True
-    words = set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{found.get('class', '')} {found.get('id', '')}").lower()))
-    return bool(words & NEVER) or bool(words & RARELY) and not words & CONTENT
+    return found.get("role", "").lower() in ROLES
+
+
+def named_unwanted(found: dict[str, str], inside: bool, heading: bool) -> bool:
+    """Whether class and id name something that isn't the article.
+
+    Each blank-separated name is judged by its words; names that only describe (``has-sidebar``) are passed
+    over. A name that is all content words outweighs names that mix an unwanted word with others.
+    """
+    content = pure = mixed = rare = False
+    for name in f"{found.get('class', '')} {found.get('id', '')}".split():
+        words = set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower())) - {""}
+        if not words or words & DESCRIBES:
+            continue
+        content |= words <= CONTENT
+        pure |= words <= NEVER
+        mixed |= bool(words & NEVER)
+        rare |= bool(words & RARELY) and not words & CONTENT and not (inside and words & {"header", "notice", "notices", "alert", "legal"})
+    return pure or mixed and not content or rare and not content and not heading
 
 
 class Line:
-    __slots__ = ("text", "linked", "inside", "heading", "after_cut")
+    __slots__ = ("text", "linked", "inside", "heading", "after_cut", "parent")
+
+    def __init__(self, text: str, linked: int, inside: bool, heading: bool, after_cut: bool, parent: int):
+        self.text, self.linked, self.inside, self.heading, self.after_cut, self.parent = text, linked, inside, heading, after_cut, parent
 
-    def __init__(self, text: str, linked: int, inside: bool, heading: bool, after_cut: bool):
-        self.text, self.linked, self.inside, self.heading, self.after_cut = text, linked, inside, heading, after_cut
+
+def only_articles(tags: list[Tag]) -> dict[int, int]:
+    """For each opening tag that holds all wanted article and main elements of the page: its closing tag.
+
+    An article element is wanted if its own names don't speak against it.
+    """
+    articles = [
+        k for k, t in enumerate(tags)
+        if t.name in ("article", "main") and not t.closing and not hidden(f := attributes(t.attrs)) and not named_unwanted(f, False, False)
+    ]
+    if not articles:
+        return {}
+    out: dict[int, int] = {}
+    open_: dict[str, list[int]] = {}
+    for k, t in enumerate(tags):
+        if t.name in CONTAINERS:
+            if not t.closing:
+                open_.setdefault(t.name, []).append(k)
+            elif open_.get(t.name):
+                begin = open_[t.name].pop()
+                if begin < articles[0] and articles[-1] < k:
+                    out[begin] = k
+    for left in open_.values():
+        out.update((begin, len(tags)) for begin in left if begin < articles[0])
+    return out
 
 
 def lines_of(page: str) -> list[Line]:
     """The block lines of a page in order, without unwanted containers."""
     out: list[Line] = []
     parts: list[str] = []
-    linked = links = depth = 0  # characters in links, open links, open article or main elements
+    linked = links = depth = code = 0  # characters in links, open links, open article or main and code elements
     heading = cut = False
-    skipped, nested = "", 0  # the unwanted container that is open, and how many of its tag
+    parents = [0]  # the open containers, by number
+    n_parents = 0
+    skipped, nested = "", 0  # the unwanted element that is open, and how many of its tag
     at = 0
 
     def flush() -> None:
@@ -88,7 +203,7 @@ def lines_of(page: str) -> list[Line]:
         text = " ".join(entities.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            out.append(Line(text, min(linked, len(text)), depth > 0, heading, cut))
+            out.append(Line(text, min(linked, len(text)), depth > 0, heading, cut, parents[-1]))
             cut = False
         linked = 0
 
@@ -98,16 +213,12 @@ def lines_of(page: str) -> list[Line]:
             parts.append(text)
             linked += len(text) if links else 0
 
-    while m := TOKEN.search(page, at):
-        say(page[at : m.start()])
-        at = m.end()
-        tag = (m["tag"] or "").lower()
-        if not tag:
-            continue
-        end, attrs = bool(m["end"]), m["attrs"] or ""
-        if tag in RAW:
-            if not end and not attrs.endswith("/"):
-                at = RAW_END[tag].search(page, at).end()
+    tags = tags_of(page)
+    holds = only_articles(tags)
+    for k, (start, stop, tag, end, attrs) in enumerate(tags):
+        say(page[at:start])
+        at = stop
+        if not tag or tag in RAW:
             continue
         if skipped:
             if tag == skipped and tag not in VOID:
@@ -115,31 +226,44 @@ def lines_of(page: str) -> list[Line]:
                 if not nested:
                     skipped, cut = "", True
                 continue
-            if end or tag not in ("article", "main") or skipped in ("article", "section", "div") or unwanted(tag, attrs):
-                if not (tag == "body" and not end):
-                    continue
+            begins = not end and tag in ("article", "main") and skipped not in ("article", "section", "div")
+            if not (begins and not named_unwanted(attributes(attrs), False, False)) and not (tag == "body" and not end):
+                continue
             skipped, cut = "", True  # an unclosed menu ends where the article starts
         if tag == "br":
             parts.append(" ")
             continue
         if tag == "a":
             links = 0 if end else 1
+        found = {} if end else attributes(attrs)
+        if tag in CODE:
+            code = max(0, code + (-1 if end else 1))
         if tag in INLINE:
-            if not end and tag not in VOID and attrs and unwanted(tag, attrs):
+            lone_button = tag == "button" and not (depth and "".join(parts).strip())
+            if not end and tag not in VOID and (lone_button or hidden(found) and tag != "math" or not code and not depth and named_unwanted(found, False, False)):
                 skipped, nested = tag, 1
             continue
         flush()
         links = 0
-        if tag in ("article", "main"):
-            if end:
-                depth = max(0, depth - 1)
-            elif not unwanted(tag, attrs):
-                depth += 1
-                continue
+        unwanted = not end and tag not in ("html", "body") and (
+            tag in SKIP
+            or hidden(found)
+            or tag != "main" and not code and k not in holds and named_unwanted(found, depth > 0, tag in HEADINGS)
+            or tag == "header" and not depth and k not in holds
+        )
         if tag in HEADINGS:
             heading = not end
-        if not end and tag not in VOID and not attrs.endswith("/") and (unwanted(tag, attrs) or tag == "header" and not depth):
+        if unwanted and tag not in VOID and not attrs.endswith("/"):
             skipped, nested = tag, 1
+            continue
+        if tag in ("article", "main"):
+            depth = max(0, depth + (-1 if end else 1))
+        if tag in CONTAINERS:
+            if not end:
+                n_parents += 1
+                parents.append(n_parents)
+            elif len(parents) > 1:
+                parents.pop()
     say(page[at:])
     flush()
     return out
@@ -151,10 +275,9 @@ def main_text(page: str | None, window: int = 3, surge: int = 80, dive: int = 20
     inside = any(x.inside for x in lines)
 
     def weight(x: Line) -> int:
-        if inside and not x.inside:
-            return 0
-        plain = 0 if 2 * x.linked >= len(x.text) else len(x.text) - x.linked
-        return plain + surge * (inside and (plain > 0 or x.heading))
+        if inside:
+            return len(x.text) + surge if x.inside else 0
+        return 0 if 2 * x.linked >= len(x.text) else len(x.text) - x.linked
 
     w = [weight(x) for x in lines]
     if not any(w):
@@ -171,6 +294,12 @@ def main_text(page: str | None, window: int = 3, surge: int = 80, dive: int = 20
         while j < len(w) and sums[j] >= low:
             j += 1
         last = max(k for k in range(i, min(j + window - 1, len(w))) if w[k])
+        # short plain lines around, in the container of the stretch's ends and not parted from it by a cut
+        while last + 1 < len(w) and w[last + 1] and not lines[last + 1].after_cut and not lines[last + 1].heading and lines[last + 1].parent == lines[last].parent:
+            last += 1
+        floor = kept[-1][1] if kept else 0
+        while i > floor and w[i - 1] and not lines[i].after_cut and lines[i - 1].parent == lines[i].parent:
+            i -= 1
         kept.append((i, last + 1))
         i = max(j, last + 1)
     joined: list[tuple[int, int]] = []
