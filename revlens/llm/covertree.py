@@ -17,6 +17,7 @@ exact search is queries times rows wherever the bounds can't prune, as in many d
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -106,9 +107,25 @@ def dual_search(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, x_ids: np.ndarr
     return best
 
 
-def vectors_of(rows: pa.ChunkedArray | pa.Array) -> np.ndarray:
+def integers_of(rows: pa.ChunkedArray | pa.Array) -> np.ndarray:
     flat = (rows.combine_chunks() if isinstance(rows, pa.ChunkedArray) else rows).flatten().to_numpy(zero_copy_only=False)
-    return flat.astype(np.float64).reshape(len(rows), -1)
+    return flat.astype(np.int64).reshape(len(rows), -1)
+
+
+def large_rows(v: np.ndarray) -> np.ndarray:
+    """Rows with a component so large that an inner product of two such rows may leave 2**53."""
+    most = int((2**53 / max(1, v.shape[1])) ** 0.5)
+    return ((v >= most) | (v <= -most)).any(axis=1)
+
+
+def exact_best(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, x_ids: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+    """Top k of every pair in integers of any size, for the rare rows that doubles can't score."""
+    out = []
+    wide = x.astype(object)
+    for i, row in zip(q_ids.tolist(), q.astype(object), strict=True):
+        scores = [(-max(-(2**63) + 1, min(2**63 - 1, int(s))), j) for s, j in zip(wide @ row, x_ids.tolist(), strict=True) if j != i]
+        out += [(i, j, -s) for s, j in heapq.nsmallest(k, scores)]
+    return out
 
 
 def searched_blocks(k: int):
@@ -123,12 +140,15 @@ def searched_blocks(k: int):
                 queries, data = own.filter(pa.array(is_query)), own.filter(pa.array(~is_query))
                 if not queries.num_rows or not data.num_rows:
                     continue
-                q, x = vectors_of(queries.column("v")), vectors_of(data.column("v"))
-                if max(np.abs(q).max(), 1) * max(np.abs(x).max(), 1) * q.shape[1] >= 2**53:
-                    raise ValueError("scaled components are too large for exact integer scores")
-                ids, floor = queries.column("vec_id").to_numpy(), queries.column("floor").to_numpy()
-                best = dual_search(q, ids, x, data.column("vec_id").to_numpy(), k, floor)
-                got = [(i, j, int(s)) for i, (ss, js) in zip(ids, best.found, strict=True) for s, j in zip(ss, js, strict=True)]
+                q, x = integers_of(queries.column("v")), integers_of(data.column("v"))
+                ids, x_ids, floor = queries.column("vec_id").to_numpy(), data.column("vec_id").to_numpy(), queries.column("floor").to_numpy()
+                big_q, big_x = large_rows(q), large_rows(x)
+                got = exact_best(q[big_q], ids[big_q], x, x_ids, k) if big_q.any() else []
+                if big_x.any():
+                    got += exact_best(q[~big_q], ids[~big_q], x[big_x], x_ids[big_x], k)
+                if not big_q.all() and not big_x.all():
+                    best = dual_search(q[~big_q].astype(float), ids[~big_q], x[~big_x].astype(float), x_ids[~big_x], k, floor[~big_q])
+                    got += [(i, j, int(s)) for i, (ss, js) in zip(ids[~big_q], best.found, strict=True) for s, j in zip(ss, js, strict=True)]
                 if got:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*got, strict=True)], names)
 
@@ -141,6 +161,12 @@ def usable(v: Column) -> Column:
     return F.coalesce(v.isNotNull() & (F.size(v) > 0) & finite, F.lit(False))
 
 
+def scaled(x: Column, unit: int) -> Column:
+    """floor(unit * x) as a long, held within 64 bits."""
+    most = F.lit(float(2**63 - 1024))
+    return F.floor(F.greatest(-most, F.least(most, x * unit))).cast("long")
+
+
 def top_k(
     vectors: DataFrame,
     is_query: Column,
@@ -159,19 +185,22 @@ def top_k(
     vec_id; a query's own vec_id is no candidate. With fewer candidates than k all are returned.
 
     Null ids take no part; nor do vectors that are null, empty, or hold a null or non-finite component, nor
-    pairs of different length (they have no inner product). Repeated rows are candidates once each. Very
-    large components, whose sums could leave 2**53, raise an error. An empty table gives no rows; other
+    pairs of different length (they have no inner product). Repeated rows are candidates once each. Rows
+    with components too large for doubles are scored in integers of any size; scaled components and scores
+    beyond 64 bits are held at the largest or smallest 64-bit number. An empty table gives no rows; other
     columns, whatever their names, are ignored except inside ``is_query``.
     """
     raw = F.transform(F.col(vector_col), lambda x: x.cast("double"))
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), raw.alias("v"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
     rows = rows.where(F.col("vec_id").isNotNull() & usable(F.col("v")))
-    rows = cut(rows.withColumn("v", F.transform("v", lambda x: F.floor(x * unit).cast("long"))).withColumn("size", F.size("v")), "vectors")
+    rows = cut(rows.withColumn("v", F.transform("v", lambda x: scaled(x, unit))).withColumn("size", F.size("v")), "vectors")
     sample = rows.orderBy(F.xxhash64("vec_id", F.lit(7)), "vec_id").limit(seeds).select("vec_id", "v").collect()
     by_size: dict[int, list[tuple[int, np.ndarray]]] = {}
     for r in sample:
         by_size.setdefault(len(r["v"]), []).append((r["vec_id"], np.array(r["v"], float)))
 
+    longest = {n: max(float(np.sqrt(p @ p)) for _, p in rows_) for n, rows_ in by_size.items()}
+
     def placed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Region (nearest pivot) of every row, and for queries the kth score in the sample."""
         for b in batches:
@@ -181,7 +210,9 @@ def top_k(
                 x = np.array(v, float)
                 region.append(int(np.argmin([np.sum((x - p) ** 2) for _, p in known[:pivots]])) if known else 0)
                 scores = sorted((float(x @ p) for j, p in known if j != i), reverse=True) if asks else []
-                floor.append((scores[k - 1] if len(scores) >= k else -np.inf) if asks else None)
+                # below the kth score whatever the rounding of doubles
+                slack = 1 + 1e-9 * float(np.sqrt(x @ x)) * longest.get(len(v), 0.0)
+                floor.append((scores[k - 1] - slack if len(scores) >= k else -np.inf) if asks else None)
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array(region, pa.int32()), pa.array(floor, pa.float64())], [*b.schema.names, "region", "floor"]
             )

@@ -16,7 +16,6 @@ ever do: the ``1 - reject_quantile`` quantile of distances by length in letters,
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -31,7 +30,6 @@ from revlens.llm.textcodes import character_table, code_points, mix, text_slabs
 
 DIMS = 4096
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
 LENGTH_BINS = 16
 
 
@@ -185,7 +183,7 @@ def predict(docs: DataFrame, model: CentroidModel | None, text_col: str = "text"
                 for a in range(lo, hi, 512):
                     part = texts[a : min(a + 512, hi)]
                     pred, score, out = [UNKNOWN] * len(part), np.zeros(len(part)), np.ones(len(part), bool)
-                    known = [i for i, t in enumerate(part) if model is not None and t is not None and LETTER.search(t)]
+                    known = [i for i, t in enumerate(part) if model is not None and t is not None and any(map(str.isalpha, t))]
                     if known:
                         names, score[known], out[known] = model.score([part[i] for i in known])
                         for i, name in zip(known, names, strict=True):

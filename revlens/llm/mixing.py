@@ -239,14 +239,16 @@ c AS (SELECT ks, kl, kt, sum(tokens)::DOUBLE AS tokens, 1.0::DOUBLE AS f FROM k
     for i in range(sweeps):
         for v in ("ks", "kl", "kt"):
             have = f"sum(tokens * f) OVER (PARTITION BY {v})"
-            scale = f"CASE WHEN {have} > 0 AND share > 0 THEN share / {have} ELSE 1.0::DOUBLE END"
+            # a source without tokens starts at the mean of the sources' factors, by tokens
+            start = "1.0::DOUBLE / nullif((SELECT sum(tokens) FROM c), 0)" if (i, v) == (0, "ks") else "1.0::DOUBLE"
+            scale = f"CASE WHEN {have} > 0 AND share > 0 THEN share / {have} ELSE {start} END"
             now = f"c_{i}_{v}"
             steps.append(f"{now} AS (SELECT {last}.ks, {last}.kl, {last}.kt, tokens, f * {scale} AS f FROM {last} LEFT JOIN t_{v} USING ({v}))")
             last = now
     return (
         ",\n".join(steps)
         + f""",
-o AS (SELECT ks, kl, kt, f / max(f) OVER () AS p FROM {last})
+o AS (SELECT ks, kl, kt, coalesce(least(1.0::DOUBLE, f / max(CASE WHEN tokens > 0 THEN f END) OVER ()), 1.0::DOUBLE) AS p FROM {last})
 SELECT doc_id, source, lang, topic, CAST(tokens AS BIGINT) AS n_tokens, round(p, 9) AS probability,
   CAST('0x' || substr(md5('{seed}:' || coalesce('=' || doc_id::VARCHAR, '')), 1, 13) AS BIGINT)::DOUBLE / 4503599627370496.0::DOUBLE < p AS kept
 FROM k JOIN o USING (ks, kl, kt)"""

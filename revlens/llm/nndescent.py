@@ -249,17 +249,29 @@ def nearest(
     Nearness is the inner product in double precision, ties go to the smaller vec_id, and a query's own
     vec_id is no candidate. The k reported are the nearest of those found.
 
-    Null ids take no part, nor do vectors that are null, empty, zero, hold a null or non-finite component,
-    or differ in length from the most frequent length. Equal vectors share a node and are all candidates.
+    Null ids take no part, nor do vectors that are null, empty, zero, or hold a null or non-finite component.
+    Vectors of each length are searched among themselves, one length after the other, since others have no
+    inner product with them. Equal vectors share a node and are all candidates.
     An empty table gives no rows; other columns are ignored except inside ``is_query``.
     """
     raw = F.transform(F.col(vector_col), lambda x: x.cast("double"))
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), raw.alias("v"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
     square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
     rows = cut(rows.where(F.col("vec_id").isNotNull() & usable(F.col("v"))).withColumn("square", square).where("square > 0"), "vectors")
-    length = rows.groupBy(F.size("v").alias("size")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "size").first()
-    dims = length["size"] if length else 1
-    rows = rows.where(F.size("v") == dims)
+    rows = rows.withColumn("size", F.size("v"))
+    lengths = [r["size"] for r in rows.where("is_query").select("size").distinct().orderBy("size").collect()]
+    out = rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for dims in lengths:
+        same = rows.where(F.col("size") == dims)
+        out = out.unionByName(_of_one_length(same, dims, k, degree, tables, chunk, rounds, least_new, beam, entries, least_open, broadcast_mb))
+    return out
+
+
+def _of_one_length(
+    rows: DataFrame, dims: int, k: int, degree: int, tables: int, chunk: int, rounds: int, least_new: float, beam: int, entries: int,
+    least_open: float, broadcast_mb: int,
+) -> DataFrame:
+    """``nearest`` for rows (vec_id, v, is_query, square) whose vectors all have ``dims`` components."""
     grouped = cut(rows.groupBy("v").agg(F.min("vec_id").alias("node"), F.max("square").alias("square")), "nodes")
     size = grouped.agg(F.count(F.lit(1)).alias("nodes"), F.max("square").alias("top")).first()
     longest = float(np.sqrt(size["top"])) if size["nodes"] else 1.0

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -53,6 +55,15 @@ def test_odd_rows(spark):
     assert top_k(frame(spark, [(10, [1.0])]), F.col("vec_id") % 10 == 0).count() == 0
 
 
-def test_too_large_components(spark):
-    with pytest.raises(Exception, match="too large"):
-        top_k(frame(spark, [(0, [3e30, 1.0]), (1, [3e30, 1.0])]), F.col("vec_id") == 0).collect()
+def test_components_too_large_for_doubles(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, (rng.normal(size=4) * (1e4 if i % 7 else 3e5)).astype(np.float32).tolist()) for i in range(60)]
+    rows += [(100, [3e30, 1.0, 0.0, 0.0]), (101, [-3e30, 1.0, 0.0, 0.0]), (102, [0.0, 5.0, 1.0, 1.0])]
+    got = top_k(frame(spark, rows), F.col("vec_id") % 10 == 0, k=5).collect()
+    held = {i: [max(-(2**63 - 1024), min(2**63 - 1024, math.floor(1024 * float(np.float32(x))))) for x in v] for i, v in rows}
+    want = []
+    for q, a in held.items():
+        if q % 10 == 0:
+            scores = {i: max(-(2**63) + 1, min(2**63 - 1, sum(x * y for x, y in zip(a, b)))) for i, b in held.items() if i != q}
+            want += [(q, n + 1, i, scores[i]) for n, i in enumerate(sorted(scores, key=lambda i: (-scores[i], i))[:5])]
+    assert sorted(map(tuple, got)) == sorted(want)

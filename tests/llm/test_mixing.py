@@ -97,3 +97,23 @@ def test_nasty_rows(nasty, nasty_rows, empty):
     assert len(rows) == len(nasty_rows) and all(0 <= r.mix_probability <= 1 for r in rows)
     assert Counter((r.doc_id, r.text, r.factor) for r in rows) == Counter((r[0], r[1], "x") for r in nasty_rows)
     assert mix_sources(empty).count() == 0
+
+
+def test_sql_agrees_beside_a_source_without_tokens(spark, make_docs, tmp_path):
+    import duckdb
+
+    from revlens.llm.mixing import op8_mixing
+
+    rows = [(i, f"word {i % 7} " * (3 + i % 50)) for i in range(300)] + [(900, None), (901, " "), (902, "x | y"), (903, "a b")]
+    docs = make_docs(rows).select("doc_id", "text", "lang", "source", "n_chars")
+    source = F.when(F.col("doc_id").isin(900, 901), "bare").when(F.col("doc_id") == 902, None).otherwise(F.concat(F.lit("s"), F.col("doc_id") % 3))
+    docs = docs.withColumn("source", source).withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "en").otherwise("fr"))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    from revlens.llm.mixing import mix_sql
+
+    want = con.execute(mix_sql()).fetchall()
+    got = op8_mixing(spark, str(tmp_path)).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    assert sum(r.kept for r in got) > 60

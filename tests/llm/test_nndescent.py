@@ -58,3 +58,12 @@ def test_copies_ties_and_odd_rows(spark):
     few = lists(nearest(frame(spark, [(0, [1.0, 2.0]), (1, [2.0, 1.0]), (20, [0.5, 0.5])]), F.col("vec_id") % 20 == 0).collect())
     assert few == {0: [1, 20], 20: [0, 1]}
     assert nearest(frame(spark, []), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_each_length_is_searched(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=5).tolist()) for i in range(200)] + [(1000 + i, rng.normal(size=3).tolist()) for i in range(41)]
+    found = lists(nearest(frame(spark, rows), F.col("vec_id") % 20 == 0).collect())
+    want = brute(rows[:200], 20, 20) | brute(rows[200:], 20, 20)
+    assert found.keys() == want.keys()
+    assert sum(len(set(want[q]) & set(found[q])) for q in want) >= 0.95 * sum(map(len, want.values()))
