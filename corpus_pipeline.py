@@ -1,13 +1,12 @@
 """The corpus pipeline: language ID, near-duplicate removal, source mixing, packing.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read
-again as the next stage's docs; all but the last return the columns of documents. A document is known
-by its doc_id.
+again as the next stage's docs; all but the last return the columns of documents.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.llm.language import identify
@@ -32,24 +31,35 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each class of the n-gram Jaccard join.
+    """One row of each class of the n-gram Jaccard join: the one with the smallest doc_id, ids before none.
 
-    Rows without an id stay; of rows that repeat an id and its text one stays.
+    Rows are told apart by a number of their own, so rows that repeat an id, or have none, are judged by
+    their texts like all others. Texts without words (null, empty, only marks) are copies of nothing and
+    stay. An empty table gives no rows.
     """
-    first = jaccard_join(docs).where("doc_id = class_id").select("doc_id").distinct()
-    known = docs.where(F.col("doc_id").isNotNull()).join(first, "doc_id", "left_semi")
-    order = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(*[F.col(c) for c in docs.columns if c not in ("doc_id", "text")])
-    once = known.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").select(*docs.columns)
-    return once.unionByName(docs.where(F.col("doc_id").isNull()))
+    rows = cut(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    classes = jaccard_join(rows.select(F.col("_row").alias("doc_id"), "text")).select(F.col("doc_id").alias("_row"), "class_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
+    first = classes.join(rows.select("_row", "doc_id"), "_row").groupBy("class_id").agg(F.min(order).alias("m")).select("m._row")
+    return rows.join(first, "_row", "left_semi").select(*docs.columns)
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample of ``MIX_RATE`` of the tokens, its cells in the raked proportions or, where that is all of one, whole."""
+    """A sample of ``MIX_RATE`` of the tokens, its cells in the raked proportions or, where that is all of one, whole.
+
+    A null source or language is a value of its own; null and blank texts weigh nothing and are kept with
+    their cell's probability. The draw depends on the id alone: rows that repeat an id, and rows without
+    one, stand or fall together within a cell. An empty table gives no rows.
+    """
     return mix_sources(docs, rate=MIX_RATE).where("mix_kept").select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences: one row per piece of a document, with its ids."""
+    """Token sequences: one row per piece of a document, with its ids.
+
+    A null or empty text is the end token alone. Repeated rows are packed each; very long texts are cut into
+    as many pieces as they need. An empty table gives no rows.
+    """
     return pack(docs)
 
 
