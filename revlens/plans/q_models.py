@@ -3,7 +3,6 @@ models (C1-C3, C6, C8, C9) and file round trips (S1-S9)."""
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import functions as F
 
@@ -12,6 +11,7 @@ from revlens.operators import embed as EM
 from revlens.operators import gsdmm as GS
 from revlens.operators import split as S
 from revlens.operators import subword as SW
+from revlens.operators import svd as LS
 from revlens.operators import topics as TP
 from revlens.operators import vocab as V
 from revlens.plans.q_corpus import derived_vectors, labelled_tokens
@@ -258,14 +258,43 @@ def q_doc_topics(spark, sf):
     return _union(spark, parts, "doc_id bigint, mixture array<double>, topic int, sentiment int")
 
 
+LSI_K = 10
+
+
+def _tfidf_entries(lt):
+    """(sentiment, doc_id, term, weight) over the vocabulary of each class, which no list on the driver holds."""
+    voc = V.filter_extremes(lt, "doc_id", "toks", ["sentiment"])
+    bow = V.bag_of_words(lt, "doc_id", "toks", voc, ["sentiment"])
+    n_docs = lt.groupBy("sentiment").agg(F.count(F.lit(1)).alias("n_docs"))
+    return V.tfidf_topic(bow, n_docs, "doc_id", ["sentiment"]), n_docs
+
+
 @query("lsi")
 def q_lsi(spark, sf):
-    parts = []
-    for c, (_, v, terms, n, counts, _) in _with_terms(spark, sf).items():
-        k = min(10, len(terms))
-        Vm, s = TP.lsi_svd(TP.tfidf_vectors(counts, v, n), k)
-        parts.append(TP.lsi_topics(spark, Vm, s, terms, k, 20).withColumn("sentiment", F.lit(c)))
-    return _union(spark, parts, "topic int, rank int, term string, weight double, sentiment int")
+    entries, _ = _tfidf_entries(labelled_tokens(spark, sf))
+    return LS.lsi_topics(LS.fit_lsi(entries, "sentiment", "doc_id", "term", "weight", LSI_K), "term", 20)
+
+
+@query("lsi_fold_in")
+def q_lsi_fold_in(spark, sf):
+    """S9 + C2: LSI of the training documents, saved, loaded and applied to the other documents."""
+    lt = S.split_threshold(labelled_tokens(spark, sf))
+    train, test = lt.where("split = 'train'"), lt.where("split = 'test'")
+    voc = V.filter_extremes(train, "doc_id", "toks", ["sentiment"])
+    bow = V.bag_of_words(train, "doc_id", "toks", voc, ["sentiment"])
+    n_docs = train.groupBy("sentiment").agg(F.count(F.lit(1)).alias("n_docs"))
+    entries = V.tfidf_topic(bow, n_docs, "doc_id", ["sentiment"])
+    model = LS.fit_lsi(entries, "sentiment", "doc_id", "term", "weight", LSI_K)
+    if not model.singular:
+        return spark.createDataFrame([], "sentiment int, doc_id bigint, coordinates array<double>")
+    model = LS.load_lsi(spark, LS.save_lsi(model, scratch_path(spark, "lsi-" + new_run_id())))
+    idf = bow.groupBy("sentiment", "term").agg(F.count(F.lit(1)).alias("df")).join(F.broadcast(n_docs), "sentiment")
+    idf = idf.select("sentiment", "term", F.log2(F.col("n_docs") / F.col("df")).alias("idf"))
+    new = V.bag_of_words(test, "doc_id", "toks", voc, ["sentiment"]).join(idf, ["sentiment", "term"])
+    new = new.withColumn("weight", F.col("tf") * F.col("idf"))
+    norm = new.groupBy("sentiment", "doc_id").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm")).where("norm > 0")
+    new = new.join(norm, ["sentiment", "doc_id"]).withColumn("weight", F.col("weight") / F.col("norm"))
+    return LS.fold_in(model, new, "doc_id", "term", "weight")
 
 
 @query("lda_grid")
@@ -279,14 +308,11 @@ def q_lda_grid(spark, sf):
 
 @query("lsi_grid")
 def q_lsi_grid(spark, sf):
-    parts = []
-    for c, (_, v, terms, n, counts, dt) in _with_terms(spark, sf).items():
-        ks = list(range(2, min(12, len(terms)) + 1))
-        if not ks:
-            continue
-        g = TP.lsi_grid(spark, TP.tfidf_vectors(counts, v, n), dt, terms, n, ks)
-        parts.append(g.withColumn("sentiment", F.lit(c)))
-    return _union(spark, parts, "num_topics int, coherence double, sentiment int")
+    lt = labelled_tokens(spark, sf)
+    entries, n_docs = _tfidf_entries(lt)
+    model = LS.fit_lsi(entries, "sentiment", "doc_id", "term", "weight", 12)
+    dt = lt.select("sentiment", "doc_id", F.explode(F.array_distinct("toks")).alias("term"))
+    return TP.lsi_grid(model, dt, n_docs, range(2, 13))
 
 
 def _bags(lt):
