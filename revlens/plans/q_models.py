@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from revlens.operators import classify as CL
 from revlens.operators import embed as EM
 from revlens.operators import gsdmm as GS
+from revlens.operators import pairwise as PW
 from revlens.operators import split as S
 from revlens.operators import subword as SW
 from revlens.operators import svd as LS
@@ -118,6 +119,15 @@ def q_svc_proba(spark, sf):
     return out.select("doc_id", "label", F.col("prediction").cast("int").alias("prediction"), vector_to_array("probability").alias("probability"))
 
 
+@query("pairwise_svc")
+def q_pairwise_svc(spark, sf):
+    """M2 + M3 as pairwise models: votes, coupled Platt probabilities, saved and loaded."""
+    train, test = _train_test(embedded_sets(spark, sf))
+    model = PW.fit_pairwise_svc(train, "label", "embeds", 64, C=1.0, weight="weight", folds=5)
+    model = PW.load_pairwise(spark, PW.save_pairwise(spark, model, scratch_path(spark, "pairwise-" + new_run_id())))
+    return PW.predict_pairwise(test.select("doc_id", "label", "embeds"), model, "embeds").drop("embeds")
+
+
 # M4 ----------------------------------------------------------------------------------------------
 @query("random_forest")
 def q_random_forest(spark, sf):
@@ -157,11 +167,11 @@ def q_train_predict(spark, sf):
     e = read_table(spark, sf, "embeddings").select(
         F.col("vec_id").alias("doc_id"), F.col("label").cast("int").alias("label"), F.col("embedding").cast("array<double>").alias("embeds")
     )
-    data = S.carve_validation(S.split_threshold(e.where("label < 3")), frac=0.2)
+    data = S.carve_validation(S.split_threshold(e), frac=0.2)
     root = scratch_path(spark, "train-" + new_run_id())
     parts = []
     for kind in ("rf", "svc"):
-        train_classifier(spark, data, root, kind=kind, features="embeds", n_iter=1, folds=2)
+        train_classifier(spark, data, root, kind=kind, features="embeds")
         pred, _ = predict_latest(spark, root, kind, data.where("split = 'test'"))
         parts.append(_pred_cols(pred).withColumn("model", F.lit(kind)))
     return parts[0].unionByName(parts[1])
