@@ -15,8 +15,7 @@ from revlens.operators import subword as SW
 from revlens.operators import svd as LS
 from revlens.operators import topics as TP
 from revlens.operators import vocab as V
-from revlens.plans.q_corpus import derived_vectors, labelled_tokens
-
+from revlens.plans.q_corpus import labelled_tokens
 from revlens.plans.q_text import clean_tokens
 from revlens.plans.registry import query
 from revlens.session import scratch_path
@@ -41,9 +40,9 @@ def q_word2vec(spark, sf):
     return FS.read_word_vectors_text(spark, path, header=False)
 
 
-def _subword(spark, sf, toks):
+def _subword(spark, sf, toks, epochs=5):
     """Trained sub-word vectors of every word of ``toks``, rare ones included."""
-    model = SW.train_subword(clean_tokens(spark, sf), "toks", dim=W2V_DIM, window=5, min_count=5, seed=42)
+    model = SW.train_subword(clean_tokens(spark, sf), "toks", dim=W2V_DIM, window=5, min_count=5, epochs=epochs, seed=42)
     return SW.subword_embeddings(model, toks.select(F.explode("toks").alias("word")))
 
 
@@ -161,7 +160,7 @@ def q_predict_saved(spark, sf):
 # M7 -----------------------------------------------------------------------------------------------
 @query("train_predict")
 def q_train_predict(spark, sf):
-    """M7 + M6: an SVC and a forest trained on embeddings, calibrated, saved, reloaded and applied."""
+    """M7 + M6: a forest and a pairwise SVC tuned on embeddings of all classes, saved, reloaded and applied."""
     from revlens.workflows import predict_latest, train_classifier
 
     e = read_table(spark, sf, "embeddings").select(
@@ -169,12 +168,14 @@ def q_train_predict(spark, sf):
     )
     data = S.carve_validation(S.split_threshold(e), frac=0.2)
     root = scratch_path(spark, "train-" + new_run_id())
-    parts = []
-    for kind in ("rf", "svc"):
-        train_classifier(spark, data, root, kind=kind, features="embeds")
-        pred, _ = predict_latest(spark, root, kind, data.where("split = 'test'"))
-        parts.append(_pred_cols(pred).withColumn("model", F.lit(kind)))
-    return parts[0].unionByName(parts[1])
+    test = data.where("split = 'test'")
+    train_classifier(spark, data, root, kind="rf", features="embeds")
+    forest, _ = predict_latest(spark, root, "rf", test)
+    held = CL.fit_input(CL.balanced(data))
+    model, _, _ = PW.tune_pairwise_svc(held.where("split = 'train'"), "label", "embeds", 64, weight="weight")
+    model = PW.load_pairwise(spark, PW.save_pairwise(spark, model, f"{root}/pairwise"))
+    votes = PW.predict_pairwise(test, model, "embeds")
+    return _pred_cols(forest).withColumn("model", F.lit("rf")).unionByName(_pred_cols(votes).withColumn("model", F.lit("svc")))
 
 
 # M8 ----------------------------------------------------------------------------------------------
@@ -192,14 +193,17 @@ def q_batch_score(spark, sf):
 # M9 ----------------------------------------------------------------------------------------------
 @query("model_matrix")
 def q_model_matrix(spark, sf):
-    """Feature x classifier comparison on the labelled reviews (3 classes)."""
+    """Feature x classifier comparison on the labelled reviews: TF-IDF, and trained word and sub-word
+    vectors with mean and IDF pooling; the IDF is fitted on the training rows."""
     sets = review_sets(spark, sf)
     train, test = _train_test(sets)
     tfidf = CL.SmoothTfidf(inputCol="toks", outputCol="features").fit(train)
-    dim = 4
-    vec = derived_vectors(clean_tokens(spark, sf))
-    pooled = EM.features(EM.mean_pool(sets, "doc_id", "toks", vec, dim))
-    feature_sets = {"tfidf": (tfidf.transform(train), tfidf.transform(test)), "mean_vectors": _train_test(pooled)}
+    feature_sets = {"tfidf": (tfidf.transform(train), tfidf.transform(test))}
+    idf = V.smooth_idf(train, "doc_id", "toks")
+    for name, vectors in (("w2v", _w2v(spark, sf)), ("subword", _subword(spark, sf, sets, epochs=1))):
+        held = vectors.persist()
+        for how, pooled in (("mean", EM.mean_pool(sets, "doc_id", "toks", held, W2V_DIM)), ("idf", EM.idf_pool(sets, "doc_id", "toks", held, idf, W2V_DIM))):
+            feature_sets[f"{name}_{how}"] = _train_test(CL.fit_input(EM.features(pooled.select("doc_id", "label", "weight", "split", "embeds"))))
     n_weight = float(train.agg(F.sum("weight")).first()[0])
     rows = []
     for fname, (tr, te) in feature_sets.items():
