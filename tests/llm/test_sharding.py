@@ -57,3 +57,27 @@ def test_equal_texts_spread(make_docs):
 def test_small_and_empty(make_docs, empty):
     check(shard_uniform(make_docs([(1, "a"), (2, "b")]), shards=5).collect(), 2, 5)
     assert shard_uniform(empty, shards=5).count() == 0
+
+
+def test_places_against_a_plain_version(make_docs):
+    """The same rows dealt, permuted and cut one after the other, from the hashes alone."""
+    seed, shards, rows_per_block, min_blocks = 4, 6, 20, 3
+    docs = make_docs([(i, f"text {i % 90}") for i in range(500)])
+    blocks, buckets = max(min_blocks, -(-500 // rows_per_block)), max(4, -(-500 // (shards * rows_per_block)))
+    hashed = [F.xxhash64(F.lit(seed), F.lit(k), "doc_id", "text").alias(f"h{k}") for k in (1, 2, 3)]
+    rows = [(r.doc_id, r.h1 % blocks, r.h2, r.h3) for r in docs.select("doc_id", *hashed).collect()]
+    matrix = communication_matrix([sum(r[1] == b for r in rows) for b in range(blocks)], shard_rows(500, shards), seed)
+    dealt = {s: [] for s in range(shards)}
+    for b in range(blocks):
+        own = sorted((r for r in rows if r[1] == b), key=lambda r: r[2:])
+        for s in range(shards):
+            k = int(matrix[b, s])
+            dealt[s] += own[:k]
+            own = own[k:]
+        assert not own
+    want = {}
+    for s, own in dealt.items():
+        for slot, r in enumerate(sorted(own, key=lambda r: (r[3] % buckets, r[3], r[2]))):
+            want[r[0]] = (s, slot)
+    got = {r.doc_id: (r.shard, r.slot) for r in shard_uniform(docs, shards=shards, seed=seed, rows_per_block=rows_per_block, min_blocks=min_blocks).collect()}
+    assert got == want
