@@ -3,25 +3,31 @@ models (C1-C3, C6, C8, C9) and file round trips (S1-S9)."""
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import functions as F
 
 from revlens.operators import classify as CL
 from revlens.operators import embed as EM
 from revlens.operators import gsdmm as GS
+from revlens.operators import lda as LD
+from revlens.operators import ngrams as NG
 from revlens.operators import pairwise as PW
 from revlens.operators import split as S
 from revlens.operators import subword as SW
 from revlens.operators import svd as LS
+from revlens.operators import tokens as K
 from revlens.operators import topics as TP
 from revlens.operators import vocab as V
 from revlens.plans.q_corpus import labelled_tokens
-from revlens.plans.q_text import clean_tokens
+from revlens.plans.q_text import clean_tokens, pos_table
 from revlens.plans.registry import query
 from revlens.session import scratch_path
 from revlens.sources import files as FS
 from revlens.sources.registry import log_run, new_run_id, resolve_model_path
 from revlens.sources.tables import read_table
+from revlens.workflows import materialize
 
 W2V_DIM = 100
 
@@ -313,11 +319,51 @@ def q_lsi_fold_in(spark, sf):
 
 @query("lda_grid")
 def q_lda_grid(spark, sf):
-    parts = []
-    for c, (docs, _, terms, n, counts, dt) in _with_terms(spark, sf).items():
-        g = TP.lda_grid(spark, counts, dt, terms, n, ks=[3, 5], alphas=[0.01, "symmetric"], betas=[0.91])
-        parts.append(g.withColumn("sentiment", F.lit(c)))
-    return _union(spark, parts, "model int, num_topics int, alpha string, beta string, coherence double, sentiment int")
+    """All 120 points of every class, fitted in the same passes."""
+    lt = materialize(labelled_tokens(spark, sf), "grid-tokens")
+    voc, docs = _bags(lt)
+    voc = materialize(voc, "grid-vocabulary")
+    dt = lt.select("sentiment", "doc_id", F.explode(F.array_distinct("toks")).alias("term")).join(voc.select("sentiment", "term"), ["sentiment", "term"], "left_semi")
+    points = [LD.LdaPoint(k, a, b) for k, a, b in itertools.product(TP.LDA_TOPICS, TP.LDA_ALPHAS, TP.LDA_BETAS)]
+    return LD.grid(docs, "sentiment", voc, dt, V.doc_counts(lt, ["sentiment"]), points, passes=10)
+
+
+def _topic_chain(spark, sf):
+    """Labelled documents through parts of speech, bigrams, trigrams and TF-IDF: (vocabulary, weighted bags)."""
+    lt = labelled_tokens(spark, sf)
+    kept = K.filter_pos(lt, "doc_id", "toks", pos_table(lt), ("NOUN", "VERB", "PROPN"), out_col="kept").select("doc_id", "sentiment", "kept")
+    kept = materialize(kept, "chain-kept")
+    two = materialize(NG.bigrams(kept, "doc_id", "kept", "two").select("doc_id", "sentiment", "two"), "chain-bigrams")
+    toks = materialize(NG.trigrams(two, "doc_id", "two", "three").select("doc_id", "sentiment", F.col("three").alias("toks")), "chain-trigrams")
+    voc = materialize(V.filter_extremes(toks, "doc_id", "toks", ["sentiment"]), "chain-vocabulary")
+    entries = V.tfidf_topic(V.bag_of_words(toks, "doc_id", "toks", voc, ["sentiment"]), V.doc_counts(toks, ["sentiment"]), "doc_id", ["sentiment"])
+    pairs = entries.groupBy("sentiment", "doc_id").agg(F.sort_array(F.collect_list(F.struct("term_id", "weight"))).alias("p"))
+    docs = toks.select("sentiment", "doc_id").join(pairs, ["sentiment", "doc_id"], "left")
+    return voc, docs.select("sentiment", "doc_id", F.col("p.term_id").alias("ids"), F.col("p.weight").alias("cnts"))
+
+
+@query("lda_chain")
+def q_lda_chain(spark, sf):
+    """C1 + C12: the whole chain to topics of TF-IDF weights with learnt priors; each topic's prevalence and most
+    relevant words."""
+    voc, docs = _topic_chain(spark, sf)
+    models = LD.fit(docs, "sentiment", [LD.LdaPoint(10, "auto", "auto")])
+    return LD.relevant_words(models, voc).drop("model")
+
+
+@query("lda_fold_in")
+def q_lda_fold_in(spark, sf):
+    """C1 + C6 + S9: LDA with learnt priors of the training documents, saved, loaded and applied to the others."""
+    lt = S.split_threshold(labelled_tokens(spark, sf))
+    train, test = lt.where("split = 'train'"), lt.where("split = 'test'")
+    voc, docs = _bags(train)
+    models = LD.fit(docs, "sentiment", [LD.LdaPoint(10, "auto", "auto_symmetric")])
+    models = LD.load(spark, LD.save(models, scratch_path(spark, "lda-" + new_run_id())))
+    bags = V.bag_of_words(test, "doc_id", "toks", voc, ["sentiment"]).groupBy("sentiment", "doc_id").agg(F.collect_list(F.struct("term_id", "tf")).alias("p"))
+    new = test.select("sentiment", "doc_id").join(bags, ["sentiment", "doc_id"], "left").select(
+        "sentiment", "doc_id", F.col("p.term_id").alias("ids"), F.col("p.tf").alias("cnts")
+    )
+    return LD.mixtures(models, new).drop("model")
 
 
 @query("lsi_grid")
