@@ -2,7 +2,8 @@
 
 Copies are generated with ``explode(sequence(1, k))`` per row and every random choice is a
 seeded hash of (seed, key, copy, position), so a rerun (or a retried task) produces the same
-rows. The synonym table is joined once per token occurrence, before copies multiply.
+rows. The synonym table is joined once per token occurrence; copies are made in the row after the regrouping
+shuffle, so what is shuffled does not grow with their number.
 """
 
 from __future__ import annotations
@@ -34,20 +35,24 @@ def synonym_augment(
     ``df`` has (key, tokens, label, k); ``synonyms`` has (word, synonyms array<string>).
     Returns (key, copy, label, tokens).
     """
-    toks = explode_rows(df.where(F.col(k_col) >= 1), [key, label, k_col], tokens_col, "tok", pos="pos")
+    some = df.where(F.col(k_col) >= 1)
+    toks = explode_rows(some, [key, label, k_col], tokens_col, "tok", pos="pos")
     syn = synonyms.select(F.col("word").alias("tok"), F.col("synonyms").alias("__syn"))
     toks = toks.join(syn, "tok", "left")
-    copies = toks.select("*", F.explode(F.sequence(F.lit(1), F.col(k_col))).alias("copy"))
+    # one row per document leaves the shuffle; copies multiply after it, in the row
+    rows = toks.groupBy(key, label, k_col).agg(F.sort_array(F.collect_list(F.struct("pos", "tok", "__syn"))).alias("__s"))
+    copies = rows.select(key, label, "__s", F.explode(F.sequence(F.lit(1), F.col(k_col))).alias("copy"))
     s = F.lit(str(seed))
-    replace = F.col("__syn").isNotNull() & (F.size("__syn") > 0) & ((_u(s, F.col(key), F.col("copy"), F.col("pos"), F.lit("r")) % 1000) < int(p * 1000))
-    pick = F.element_at(F.col("__syn"), ((_u(s, F.col(key), F.col("copy"), F.col("pos"), F.lit("s")) % F.size("__syn")) + 1).cast("int"))
-    variant = copies.withColumn("out", F.when(replace, pick).otherwise(F.col("tok")))
-    rebuilt = variant.groupBy(key, "copy", label).agg(F.sort_array(F.collect_list(F.struct("pos", "out"))).alias("__s"))
-    rebuilt = rebuilt.select(key, "copy", label, F.transform("__s", lambda x: x["out"]).alias(tokens_col))
+
+    def variant(x: Column) -> Column:
+        ways = x["__syn"]
+        replace = ways.isNotNull() & (F.size(ways) > 0) & ((_u(s, F.col(key), F.col("copy"), x["pos"], F.lit("r")) % 1000) < int(p * 1000))
+        pick = F.element_at(ways, ((_u(s, F.col(key), F.col("copy"), x["pos"], F.lit("s")) % F.size(ways)) + 1).cast("int"))
+        return F.when(replace, pick).otherwise(x["tok"])
+
+    rebuilt = copies.select(key, "copy", label, F.transform("__s", variant).alias(tokens_col))
     # documents without tokens still get their (empty) copies
-    empty = df.where((F.size(tokens_col) == 0) & (F.col(k_col) >= 1)).select(
-        key, F.explode(F.sequence(F.lit(1), F.col(k_col))).alias("copy"), label, tokens_col
-    )
+    empty = some.where(F.size(tokens_col) == 0).select(key, F.explode(F.sequence(F.lit(1), F.col(k_col))).alias("copy"), label, tokens_col)
     originals = df.select(key, F.lit(0).alias("copy"), label, tokens_col)
     return originals.unionByName(rebuilt).unionByName(empty)
 
