@@ -114,3 +114,23 @@ def test_centroids(spark):
     df = spark.createDataFrame(rows, "label int, x array<double>")
     got = CL.centroid_scores(df, CL.fit_centroids(df, "label", "x", 2), "x").orderBy("label", F.col("x")[0]).collect()
     assert [r["logits"] for r in got] == [[-1.0, -50.0], [-1.0, -34.0], [-41.0, -0.0]]
+
+
+def test_exact_split_with_ranks(spark):
+    n = 211
+    df = spark.createDataFrame([(i,) for i in [*range(n), 7, None]], "doc_id long")
+    order = [*_order([*range(n), 7]), None]
+    got = sorted(((r["rank"], r["doc_id"], r["split"]) for r in S.split_exact(df, rank_col="rank").collect()))
+    n_train = int(len(order) * 0.9)
+    want = [(i + 1, k, "validation" if i < int(n_train * 0.1) else "train" if i < n_train else "test") for i, k in enumerate(order)]
+    assert got == want
+
+
+def test_split_exact_query_gives_every_rank(spark, tmp_path):
+    from __spark_entry__ import oracle_sql, queries
+
+    rows = [(i, "a b", "en", "web", 3) for i in range(40)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries()["split_exact"](spark, str(tmp_path))
+    assert got.columns == ["doc_id", "rank", "split"] and "SELECT doc_id, rank, CASE" in oracle_sql()["split_exact"]
+    assert [r["doc_id"] for r in got.orderBy("rank").collect()] == _order(range(40))
