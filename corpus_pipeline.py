@@ -58,9 +58,10 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Token sequences: one row per piece of a document, with its ids.
 
     A null or empty text is the end token alone. Repeated rows are packed each; very long texts are cut into
-    as many pieces as they need. An empty table gives no rows.
+    as many pieces as they need. An empty table gives no rows. The workers still hold what earlier stages took,
+    so their tables of known pieces are small.
     """
-    return pack(docs)
+    return pack(docs, most_pieces=100_000)
 
 
 STAGES = [

@@ -272,9 +272,9 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 
 @functools.lru_cache(maxsize=2)
-def shared_encoder(path: str) -> WordEncoder:
+def shared_encoder(path: str, most_pieces: int) -> WordEncoder:
     """One encoder, with its cache, for all tasks that a Python worker runs."""
-    return WordEncoder(path)
+    return WordEncoder(path, most_pieces, 20 * most_pieces)
 
 
 def pack(
@@ -289,6 +289,7 @@ def pack(
     exact_from: int = 256,
     block_tokens: int = 1 << 18,
     with_ids: bool = True,
+    most_pieces: int = 800_000,
 ) -> DataFrame:
     """Pack documents into sequences of at most ``window`` token ids; one row per piece.
 
@@ -300,6 +301,8 @@ def pack(
     ``tokenizer_path`` must be readable on every worker; None means the file that the workers' own
     ``public_tokenizers`` package names.
 
+    ``most_pieces`` bounds a worker's table of known pieces: about 400 bytes each, less of them cost time only.
+
     Null text counts as empty: the document is its END_ID alone. A null id stays null. Repeated rows
     are packed once each. Very long texts span as many sequences as needed. An empty table gives no
     rows. Other columns of ``docs``, whatever their names, are ignored.
@@ -313,7 +316,7 @@ def pack(
             path = public_tokenizers.path(TOKENIZER_FILE)
         else:
             path = tokenizer_path
-        encoder = shared_encoder(path)
+        encoder = shared_encoder(path, most_pieces)
         base = TaskContext.get().partitionId() << 32
         packer = Packer(base, window, (0.0, sentence_penalty, hard_penalty), hard_step, exact_from, block_tokens, with_ids)
         types = {"cut": pa.string(), "ids": pa.list_(pa.int32())}
@@ -325,7 +328,9 @@ def pack(
         for b in batches:
             keys, texts = b.column(0), b.column(1)
             for lo, hi in slices(texts, 4 << 20):
-                packer.add(keys[lo:hi].to_pylist(), *encode_texts(texts[lo:hi], encoder))
+                part = texts[lo:hi]
+                for a, z in slices(part, 1 << 20):  # bounds what encoding holds beside its result
+                    packer.add(keys[lo + a : lo + z].to_pylist(), *encode_texts(part[a:z], encoder))
                 if len(packer.ids) >= block_tokens:
                     yield batch(packer.flush(last=False))
         yield batch(packer.flush(last=True))

@@ -88,3 +88,10 @@ def test_little_padding(make_docs):
 
 def test_empty(empty):
     assert pack(empty).count() == 0
+
+
+def test_small_piece_tables_pack_the_same(nasty):
+    whole = pack(nasty, block_tokens=5000).drop("sequence_id").collect()
+    small = pack(nasty, block_tokens=5000, most_pieces=3).drop("sequence_id").collect()
+    key = lambda r: (r.doc_id is None, r.doc_id or 0, r.start, r.ids_crc32, r.offset)
+    assert sorted(whole, key=key) == sorted(small, key=key)
