@@ -249,3 +249,29 @@ def test_ordered_rank_matches_sort(spark):
     for g in ("a", "b"):
         ordered = sorted((r for r in rows if r[0] == g), key=lambda r: (-r[2], r[1].encode()))
         assert [got[(g, r[1])] for r in ordered] == list(range(len(ordered)))
+
+
+def _labelled_folder(spark, path):
+    docs = [(i, f"dont stop the Great{i % 3} red fox, it's fine", "en", "web", 30) for i in range(30)] + [(30, None, "en", "web", 0), (31, "the", "en", "web", 3)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars int").write.parquet(f"{path}/documents.parquet")
+    labels = [(i, 1, 0) for i in range(20)] + [(30, 1, 0), (31, 1, 0), (29, None, 0)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    return str(path)
+
+
+def test_null_drop_cleans_a_text_once(spark, tmp_path):
+    from __spark_entry__ import queries
+
+    out = queries()["null_drop"](spark, _labelled_folder(spark, tmp_path))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_join(filter(") == 1 and "LeftOuter" not in plan
+    rows = out.collect()
+    assert sorted(r["doc_id"] for r in rows) == list(range(20)) and all(r["sentiment"] == 2 and r["clean"] for r in rows)
+
+
+def test_trigram_merge_merges_bigrams_once(spark, tmp_path):
+    from __spark_entry__ import queries
+
+    out = queries()["trigram_merge"](spark, _labelled_folder(spark, tmp_path))
+    assert any("trigram-bigrams" in f for f in out.inputFiles()) and not any("documents.parquet" in f for f in out.inputFiles())
+    assert out.count() == 32
