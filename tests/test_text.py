@@ -31,6 +31,16 @@ def test_fold_accents_matches_unicodedata(spark):
     assert got == [fold_text_python(t) for t in texts]
 
 
+def test_cleaning_computes_each_step_once(spark):
+    """Text that is ASCII already is not folded, and no step of a text is computed again for its own guard."""
+    df = spark.createDataFrame([("Caf\u00e9 [x]a",), ("plain a-b",), (None,), ("",)], "v string")
+    folded = df.select(T.fold_accents(F.col("v")).alias("folded"))
+    assert [r[0] for r in folded.collect()] == ["Cafe [x]a", "plain a-b", None, ""]
+    plan = folded._jdf.queryExecution().analyzed().toString()
+    assert plan.count("translate(") == 2 and "octet_length(" in plan
+    assert [r[0] for r in df.select(T.tokenize(F.col("v"))).collect()] == [["Caf\u00e9", "[", "x", "]", "a"], ["plain", "a", "-", "b"], None, []]
+
+
 def test_expand_contractions_cases(spark):
     cases = {
         "ain't": "is not", "Ain't": "Is not", "can't've": "cannot have", "'Cause": "Because",
