@@ -54,6 +54,17 @@ def test_phrase_score_formula():
     assert (30 - 20) * 500 / (40 * 50) == 2.5 and (30 - 20) * 5000 / (40 * 50) == 25
 
 
+def test_merge_sends_a_small_phrase_table_to_the_pairs(spark):
+    """The phrase table's size is known when the merge is planned, so the pairs of all documents are not shuffled."""
+    rng = random.Random(3)
+    rows = [(i, "new york".split() + [rng.choice("abcdefghij") * 2 for _ in range(12)]) for i in range(60)]
+    out = NG.bigrams(spark.createDataFrame(rows, "doc_id int, toks array<string>"), "doc_id", "toks", "m", 5, 1.0)
+    got = {r["doc_id"]: r["m"] for r in out.collect()}
+    assert all(got[i][0] == "new_york" and got[i][1:] == NG.greedy_merge_python(t[2:], set()) for i, t in rows)
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert [x for x in plan.splitlines() if "LeftSemi" in x and "BroadcastHashJoin" in x] and "/phrases-" in plan
+
+
 def test_greedy_merge_cases(spark):
     ph = spark.createDataFrame([("a", "b"), ("b", "a")], "a string, b string")
     docs = spark.createDataFrame([(1, "a b a b a".split()), (2, "b a b".split()), (3, [])], "doc_id int, toks array<string>")
