@@ -48,6 +48,24 @@ def test_folds_stratified_and_weights(spark):
     assert abs(sum(w[k] * c for k, c in [(0, 51), (1, 49), (2, 299)]) - 399) < 1e-9
 
 
+def test_labelled_tokens_cleans_labelled_texts_once(spark, tmp_path):
+    """The label join lies below the cleaning and the result is kept; repeated keys meet as in the SQL."""
+    from revlens.plans.q_corpus import labelled_tokens
+
+    docs = [(1, "apple pie"), (2, "banana"), (2, "cherry"), (3, "unlabelled"), (None, "no key")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in docs], "doc_id long, text string, lang string, source string, n_chars int")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels = spark.createDataFrame([(1, 0, 1), (2, 1, 0), (None, 1, 0), (3, None, None)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    lt = labelled_tokens(spark, str(tmp_path))
+    assert lt.columns == ["doc_id", "toks", "sentiment"] and lt.storageLevel.useMemory
+    got = sorted((r["doc_id"], r["sentiment"], tuple(r["toks"])) for r in lt.collect())
+    assert got == [(1, 0, ("apple", "pie"))] + [(2, 2, ("banana",))] * 2 + [(2, 2, ("cherry",))] * 2
+    plan = lt._jdf.queryExecution().optimizedPlan().toString()
+    assert "InMemoryTableScan" not in plan and plan.index("translate(") < plan.index("Join")
+    lt.unpersist()
+
+
 # N1 / N2 -----------------------------------------------------------------------------------------
 def test_phrase_score_formula():
     # c_ab=30, min=20, |V|=500, c_a=40, c_b=50 -> 2.5 ; |V|=5000 -> 25
