@@ -67,3 +67,30 @@ def test_nothing(spark):
     none = spark.createDataFrame([], "g string, doc long, term string, w double")
     model = LS.fit_lsi(none, "g", "doc", "term", "w", 3)
     assert model.singular == {} and model.terms.count() == 0 and LS.fold_in(model, none, "doc", "term", "w").count() == 0
+
+
+def test_rounds_move_the_terms_of_blocks_and_no_documents(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    x = rng.random((600, 25)) * (rng.random((600, 25)) < 0.3) * 0.5 ** np.arange(25)
+    rows = [("a", int(i), f"t{j:03d}", float(x[i, j])) for i, j in zip(*np.nonzero(x))]
+    # a place given twice counts with both weights, a row without a key or weight not at all
+    rows += [("a", 0, "t001", 0.5), ("a", None, "t001", 9.0), ("a", 1, None, 9.0), (None, 1, "t001", 9.0), ("a", 1, "t001", None)]
+    x[0, 1] += 0.5
+    entries = spark.createDataFrame(rows, "g string, doc long, term string, w double")
+    monkeypatch.setattr(LS, "SMALL_CELLS", 1)
+    sizes, written = [], LS._written
+
+    def counted(df, name):
+        out = written(df, name)
+        sizes.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(LS, "_written", counted)
+    model = LS.fit_lsi(entries, "g", "doc", "term", "w", 3, oversample=4, tol=1e-8, block_cells=1200)
+    blocks = max(-(-len(rows) // 1200), spark.sparkContext.defaultParallelism)
+    assert 25 + blocks * 7 < 600
+    rounds = [n for name, n in sizes if name not in ("lsi-entries", "lsi-blocks")]
+    assert len(rounds) > 4 and max(rounds) <= 25 + blocks * 7  # vectors of terms and small triangles
+    _, s, vt = np.linalg.svd(x)
+    assert np.abs(np.array(model.singular["a"]) - s[:3]).max() < 1e-6 * s[0]
+    assert np.abs(np.abs((_v(model, "a", 25) * vt[:3].T).sum(0)) - 1).max() < 1e-4
